@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["basic"]
+MODULES = ["basic", "panel"]
 
 
 def _load():
