@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["basic", "panel"]
+MODULES = ["basic", "panel", "match"]
 
 
 def _load():
