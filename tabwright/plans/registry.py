@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["basic", "panel", "match"]
+MODULES = ["basic", "panel", "match", "ensemble"]
 
 
 def _load():
