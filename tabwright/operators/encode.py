@@ -56,3 +56,34 @@ def zscore(df: DataFrame, cols: Sequence[str], fit_on: DataFrame | None = None,
         s = fit_on.agg(F.stddev_pop(c)).scalar()
         out = out.withColumn(f"{c}{suffix}", (F.col(c) - m) / F.nullif(s, F.lit(0.0)))
     return out
+
+
+def sparse_onehot(df: DataFrame, key: str, cols: Sequence[str]) -> DataFrame:
+    """One-hot of every column after label encoding, as the sorted list of active indices
+    (column ``j`` occupies ``[offset_j, offset_j + cardinality_j)``).  Width never has to be
+    known on the driver; offsets are scalar subqueries."""
+    coded = label_encode(df.select(key, *cols), cols)
+    offset = F.lit(0)
+    idx = []
+    for c in cols:
+        idx.append((offset + F.col(f"{c}_code")).cast("int"))
+        offset = offset + coded.agg(F.max(f"{c}_code") + 1).scalar()
+    return coded.select(key, F.array(*idx).alias("active"))
+
+
+def dict_vectorize(train: DataFrame, apply_to: DataFrame, key: str, categorical: Sequence[str],
+                   numeric: Sequence[str]) -> DataFrame:
+    """Dictionary vectoriser in long form ``(key, feature, value)``: string columns become
+    ``col=value`` indicators (vocabulary fitted on ``train``; unseen values dropped), numeric
+    columns pass through under their own name."""
+    def longform(df):
+        parts = [df.select(key, F.concat(F.lit(f"{c}="), F.col(c)).alias("feature"), F.lit(1.0).alias("value"))
+                 for c in categorical]
+        parts += [df.select(key, F.lit(c).alias("feature"), F.col(c).cast("double").alias("value")) for c in numeric]
+        out = parts[0]
+        for p in parts[1:]:
+            out = out.unionByName(p)
+        return out
+
+    vocab = longform(train).select("feature").distinct()
+    return longform(apply_to).join(vocab, "feature", "left_semi")

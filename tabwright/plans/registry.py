@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["basic", "panel", "match", "ensemble"]
+MODULES = ["basic", "panel", "match", "ensemble", "folds"]
 
 
 def _load():
