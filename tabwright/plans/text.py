@@ -211,3 +211,39 @@ tot AS (SELECT term, count(*) AS n FROM (SELECT unnest(tokens) AS term FROM doct
 SELECT term, n, CAST(row_number() OVER (ORDER BY n DESC, term) AS INTEGER) AS rank
 FROM tot ORDER BY n DESC, term LIMIT {TOP_K}""",
 }
+
+
+# ---- rows-only text jobs (no DuckDB counterpart: stemming library, SVD) ----
+
+LSA_K = 8
+
+
+def q_stem_terms(spark, sf_dir):
+    from tabwright.operators.lsa import stem_terms
+    d = _doc_tokens(spark, sf_dir)
+    return stem_terms(d.select(F.explode("tokens").alias("term")))
+
+
+def _doc_weights(spark, sf_dir):
+    tf = TF.term_counts(_doc_tokens(spark, sf_dir), "doc_id", "tokens")
+    return TF.tfidf(tf, "doc_id", TF.fit_idf(tf, "doc_id", MIN_DF, MAX_DF))
+
+
+def q_lsa_project(spark, sf_dir):
+    """Fit the SVD on the labelled (train) documents, project every document with that basis."""
+    from tabwright.operators.lsa import lsa_fit, lsa_project
+    w = _doc_weights(spark, sf_dir)
+    train = w.join(Tables(spark, sf_dir).labels.select("doc_id"), "doc_id", "left_semi")
+    vdf, _ = lsa_fit(train, "doc_id", LSA_K)
+    return lsa_project(w, "doc_id", vdf)
+
+
+def q_group_svd(spark, sf_dir):
+    """First singular component per query group (documents grouped by their paired query)."""
+    from tabwright.operators.lsa import group_first_component
+    w = _doc_weights(spark, sf_dir)
+    p = pairs(spark, sf_dir).select("doc_id", "item_id")
+    return group_first_component(w.join(p, "doc_id"), "item_id", "doc_id", iterations=20)
+
+
+QUERIES.update({"stem_terms": q_stem_terms, "lsa_project": q_lsa_project, "group_svd": q_group_svd})
