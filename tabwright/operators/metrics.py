@@ -119,3 +119,19 @@ def pair_accuracy(df: DataFrame, y: str, pred: str, key: str, group: Sequence[st
                     (F.col("sw") * (F.col("n") - F.col("sw"))).alias("_pairs"))
     return conc.groupBy(*group).agg((F.sum("_c") / F.sum("_pairs")).alias("pair_accuracy")).select(
         *out, "pair_accuracy")
+
+
+def gini_shared_truth(df: DataFrame, y: str, pred: str, key: str, shared: Sequence[str],
+                      variants: Sequence[str]) -> DataFrame:
+    """M1 for many prediction variants of the same rows: the true-order term depends only on the
+    ``shared`` keys (e.g. iter, fold) and is computed once, not once per variant (model, weight)."""
+    shared, variants = list(shared), list(variants)
+    base = df.select(*shared, *variants, F.col(y).cast("double").alias("_y"), F.col(pred).alias("_p"),
+                     F.col(key).alias("_k"))
+    sp = rank_weighted_sum(base, ["_p", "_k"], "_y", [*shared, *variants])
+    truth_rows = df.select(*shared, F.col(y).cast("double").alias("_y"), F.col(key).alias("_k")).distinct()
+    st = rank_weighted_sum(truth_rows, ["_y", "_k"], "_y", shared).select(*shared, F.col("swr").alias("swr_t"))
+    j = sp.join(st, shared)
+    g_pred = F.col("n") / 2 - F.col("swr") / F.col("sw")
+    g_true = F.col("n") / 2 - F.col("swr_t") / F.col("sw")
+    return j.select(*shared, *variants, (g_pred / g_true).alias("gini"))
