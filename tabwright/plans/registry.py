@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["basic", "panel", "match", "ensemble", "folds", "text", "neighbours", "selection", "models"]
+MODULES = ["basic", "panel", "match", "ensemble", "folds", "text", "neighbours", "selection", "models", "io"]
 
 
 def _load():
