@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+The reference has no streaming work — no watermarks, windows over event time, state stores or
+late data (its "streaming" map/reduce job is batch over pipes).  The weekly panel features need
+complete earlier weeks, so they are batch by definition.
+"""
