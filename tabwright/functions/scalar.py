@@ -13,16 +13,17 @@ def col(c) -> Column:
 
 
 def capped_bin(value, width: float = 10.0, n_bins: int = 4) -> Column:
-    """Fixed-width bin with a ceiling: ``least(floor(v / width), n_bins - 1)``; NULL stays NULL."""
-    return F.least(F.floor(col(value) / F.lit(width)), F.lit(n_bins - 1)).cast("int")
+    """Fixed-width bin with a ceiling: ``least(floor(v / width), n_bins - 1)``; NULL stays NULL
+    (``least`` alone would skip the NULL and return the ceiling)."""
+    v = col(value)
+    return F.when(v.isNotNull(), F.least(F.floor(v / F.lit(width)), F.lit(n_bins - 1))).cast("int")
 
 
-def bin_with_default(value, default) -> Column:
-    """P6 + P8: cast-at-use (a failed cast is missing) then bin; missing → ``default``."""
-    v = col(value)
-    numeric = v if not isinstance(value, str) else v
-    return F.coalesce(capped_bin(F.expr(f"try_cast({value} AS DOUBLE)") if isinstance(value, str) else numeric),
-                      col(default)).cast("int")
+def bin_with_default(value, default, width: float = 10.0, n_bins: int = 4) -> Column:
+    """P6 + P8: cast at use (``try_cast``: a failed cast is missing), bin, missing → ``default``
+    (e.g. ``3 - class``)."""
+    v = col(value).try_cast("double")
+    return F.coalesce(capped_bin(v, width, n_bins), col(default)).cast("int")
 
 
 def recode(c, mapping: Mapping, default=None) -> Column:

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabwright.functions.scalar import capped_bin, flag, hex_digit_parity, recode
+from tabwright.functions.scalar import bin_with_default, capped_bin, flag, hex_digit_parity, recode
 from tabwright.operators import aggregates as agg
 from tabwright.sources.tables import Tables
 
@@ -96,9 +96,8 @@ def q_default_bin(spark, sf_dir):
     li = Tables(spark, sf_dir).lineitem
     fare_text = F.when(F.col("l_orderkey") % 7 == 0, F.lit("n/a")).otherwise(F.col("l_quantity").cast("string"))
     klass = F.col("l_linenumber") % 3 + 1
-    fare = F.expr("try_cast(fare_text AS DOUBLE)")  # P6: a failed cast means missing
     b = li.select(klass.alias("klass"), fare_text.alias("fare_text")).select(
-        "klass", F.coalesce(capped_bin(fare), 3 - F.col("klass")).cast("int").alias("fare_bin"))
+        "klass", bin_with_default("fare_text", 3 - F.col("klass")).alias("fare_bin"))
     return b.groupBy("klass", "fare_bin").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
@@ -205,7 +204,9 @@ FROM base LEFT JOIN med ON base.c_mktsegment IS NOT DISTINCT FROM med.c_mktsegme
     "default_bin": """WITH b AS (
   SELECT l_linenumber % 3 + 1 AS klass,
          CASE WHEN l_orderkey % 7 = 0 THEN 'n/a' ELSE CAST(l_quantity AS VARCHAR) END AS fare_text FROM lineitem)
-SELECT klass, CAST(coalesce(least(floor(TRY_CAST(fare_text AS DOUBLE) / 10), 3), 3 - klass) AS INTEGER) AS fare_bin,
+SELECT klass, CAST(coalesce(CASE WHEN TRY_CAST(fare_text AS DOUBLE) IS NOT NULL
+                             THEN least(floor(TRY_CAST(fare_text AS DOUBLE) / 10), 3) END, 3 - klass) AS INTEGER)
+         AS fare_bin,
        count(*) AS n_rows
 FROM b GROUP BY ALL""",
     "recode_map": """SELECT c_custkey, CAST(CASE c_mktsegment WHEN 'AUTOMOBILE' THEN 1 WHEN 'BUILDING' THEN 2
