@@ -118,3 +118,8 @@ def round_half_even(c, digits: int = 0) -> Column:
 
 def first_non_null(cols: Sequence) -> Column:
     return F.coalesce(*[col(c) for c in cols])
+
+
+def low_variance(var_col, max_var: float = 0.5) -> Column:
+    """The (optional) low-variance row filter predicate ``var < max_var``."""
+    return col(var_col) < F.lit(max_var)

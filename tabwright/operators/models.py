@@ -136,3 +136,27 @@ class LinearScoreModel(Model):
     def _transform(self, dataset: DataFrame) -> DataFrame:
         score = sum((F.col(c) * w for c, w in zip(self.cols, self.weights)), F.lit(0.0))
         return dataset.withColumn("prediction", score)
+
+
+def experiment_registry(spark, feature_sets: Sequence[str], spaces: dict[str, dict[str, tuple]]):
+    """The experiment registry as two small tables — ``experiments(feat, model)`` for every
+    feature set × model, and ``param_space(model, name, kind, lo, hi, step)`` (D17).  Built from
+    the configuration lists with ``explode`` (configuration, not data; not a registered query)."""
+    models = sorted(spaces)
+    exp = spark.range(1).select(F.explode(F.array(*[F.lit(f) for f in feature_sets])).alias("feat")).withColumn(
+        "model", F.explode(F.array(*[F.lit(m) for m in models])))
+    rows = [(m, name, kind, float(lo), float(hi), float(step))
+            for m in models for name, (kind, lo, hi, step) in sorted(spaces[m].items())]
+    space = spark.createDataFrame(rows, "model string, name string, kind string, lo double, hi double, step double")
+    return exp, space
+
+
+def grid_points(space_rows: Sequence[tuple]) -> list[dict]:
+    """Every grid point of a ``param_space`` (rows of one model: name, kind, lo, hi, step)."""
+    import itertools
+    axes = []
+    for name, kind, lo, hi, step in space_rows:
+        n = int(round((hi - lo) / step)) + 1 if step else 1
+        vals = [lo + i * step for i in range(n)]
+        axes.append([(name, int(v) if kind == "int" else round(v, 10)) for v in vals])
+    return [dict(p) for p in itertools.product(*axes)]

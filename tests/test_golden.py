@@ -146,3 +146,14 @@ def test_strat_folds(spark):
 def test_product_over_sum(spark):
     df = spark.createDataFrame([(2.0, 6.0)], "a double, b double")
     assert df.select(B.product_over_sum(F.col("a"), F.col("b"))).first()[0] == 1.5
+
+
+def test_experiment_registry(spark):
+    from tabwright.operators.models import experiment_registry, grid_points
+    spaces = {"ridge": {"regParam": ("float", 0.0, 1.0, 0.5)}, "gbt": {"maxDepth": ("int", 2, 4, 1),
+                                                                        "stepSize": ("float", 0.1, 0.2, 0.1)}}
+    exp, space = experiment_registry(spark, ["f1", "f2", "f3", "f4"], spaces)
+    assert exp.count() == 8 and space.count() == 3
+    pts = grid_points([(r["name"], r["kind"], r["lo"], r["hi"], r["step"])
+                       for r in space.where("model = 'gbt'").collect()])
+    assert len(pts) == 6 and {"maxDepth": 2, "stepSize": 0.1} in pts
