@@ -8,19 +8,25 @@ document's rows are bounded by its own length.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def term_counts(docs: DataFrame, key: str, tokens: str) -> DataFrame:
-    """``(key, term, tf)`` from an array-of-tokens column."""
-    return docs.select(key, F.explode(tokens).alias("term")).groupBy(key, "term").agg(
-        F.count(F.lit(1)).alias("tf"))
+def term_counts(docs: DataFrame, key: str, tokens: str, stop_words=None) -> DataFrame:
+    """``(key, term, tf)`` from an array-of-tokens column.  Stop words are removed after the explode
+    (a plain ``isin`` filter, cheaper than filtering every array with a lambda).  When ``docs`` is
+    hash-partitioned by ``key`` the count needs no further shuffle."""
+    t = docs.select(key, F.explode(tokens).alias("term"))
+    if stop_words:
+        t = t.where(~F.col("term").isin(list(stop_words)))
+    return t.groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
-def fit_idf(tf: DataFrame, key: str, min_df: int = 1, max_df_ratio: float = 1.0) -> DataFrame:
-    """Vocabulary with smooth idf ``ln((1 + n) / (1 + df)) + 1``; ``min_df`` absolute, ``max_df`` a share."""
-    n = tf.select(key).distinct().agg(F.count(F.lit(1))).scalar()
+def fit_idf(tf: DataFrame, key: str, min_df: int = 1, max_df_ratio: float = 1.0, n_docs=None) -> DataFrame:
+    """Vocabulary with smooth idf ``ln((1 + n) / (1 + df)) + 1``; ``min_df`` absolute, ``max_df`` a share;
+    ``n`` = ``n_docs`` (the corpus size, documents without terms included) or, when not given, the
+    number of keys in ``tf``."""
+    n = n_docs if n_docs is not None else tf.select(key).distinct().agg(F.count(F.lit(1))).scalar()
     df = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     kept = df.where((F.col("df") >= min_df) & (F.col("df") <= n * max_df_ratio))
     return kept.select("term", "df", (F.log((1 + n) / (1 + F.col("df"))) + 1).alias("idf"))
@@ -30,8 +36,9 @@ def tfidf(tf: DataFrame, key: str, idf: DataFrame, sublinear: bool = True) -> Da
     """``(key, term, w)``, ``w = (1 + ln tf)·idf`` (or ``tf·idf``), L2-normalised per key."""
     t = F.log(F.col("tf")) + 1 if sublinear else F.col("tf").cast("double")
     w = tf.join(idf.select("term", "idf"), "term").select(key, "term", (t * F.col("idf")).alias("w"))
-    norm = w.groupBy(key).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("_norm"))
-    return w.join(norm, key).select(key, "term", (F.col("w") / F.col("_norm")).alias("w"))
+    # one document's terms per window partition: bounded by that document's length
+    norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(key)))
+    return w.select(key, "term", (F.col("w") / norm).alias("w"))
 
 
 def pair_similarity(wq: DataFrame, wt: DataFrame, pairs: DataFrame, qkey: str, tkey: str) -> DataFrame:

@@ -15,10 +15,21 @@ MIN_DF, MAX_DF = 3, 0.5
 TOP_K = 200
 
 
+def docs(spark, sf_dir):
+    """``documents`` hash-partitioned by ``doc_id`` before any per-row text work: the regex work is
+    spread over all tasks even when a file holds one row group, and the later
+    ``groupBy(doc_id, term)`` reuses this partitioning (text is shuffled once, not its tokens)."""
+    return Tables(spark, sf_dir).documents.repartition("doc_id")
+
+
+def n_docs(spark, sf_dir):
+    return Tables(spark, sf_dir).documents.agg(F.count(F.lit(1))).scalar()
+
+
 def pairs(spark, sf_dir):
     t = Tables(spark, sf_dir)
     n = t.benchmark.agg(F.count(F.lit(1))).scalar()
-    d = t.documents.select("doc_id", "text", (F.col("doc_id") % n).alias("item_id"))
+    d = docs(spark, sf_dir).select("doc_id", "text", (F.col("doc_id") % n).alias("item_id"))
     q = t.benchmark.select("item_id", F.col("text").alias("query"))
     return d.join(q, "item_id")
 
@@ -29,7 +40,7 @@ def q_html_text(spark, sf_dir):
 
 
 def q_text_normalise(spark, sf_dir):
-    d = Tables(spark, sf_dir).documents
+    d = docs(spark, sf_dir)
     return d.select("doc_id", TX.legacy_clean(TX.min_length_default("text", "feature3null")).alias("norm"))
 
 
@@ -40,8 +51,12 @@ def q_prefixed_bag(spark, sf_dir):
 
 
 def _doc_tokens(spark, sf_dir):
-    d = Tables(spark, sf_dir).documents
-    return d.select("doc_id", TX.drop_stop(TX.words("text")).alias("tokens"))
+    return docs(spark, sf_dir).select("doc_id", TX.drop_stop(TX.words("text")).alias("tokens"))
+
+
+def _doc_tf(spark, sf_dir):
+    words = docs(spark, sf_dir).select("doc_id", TX.words("text").alias("tokens"))
+    return TF.term_counts(words, "doc_id", "tokens", TX.STOP_WORDS)
 
 
 def q_ngrams(spark, sf_dir):
@@ -56,8 +71,8 @@ def q_ngrams(spark, sf_dir):
 
 
 def q_tfidf(spark, sf_dir):
-    tf = TF.term_counts(_doc_tokens(spark, sf_dir), "doc_id", "tokens")
-    w = TF.tfidf(tf, "doc_id", TF.fit_idf(tf, "doc_id", MIN_DF, MAX_DF))
+    tf = _doc_tf(spark, sf_dir)
+    w = TF.tfidf(tf, "doc_id", TF.fit_idf(tf, "doc_id", MIN_DF, MAX_DF, n_docs(spark, sf_dir)))
     return w.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_terms"), F.round(F.sum("w"), 6).alias("w_sum"),
                                    F.round(F.max("w"), 6).alias("w_max"))
 
@@ -83,11 +98,12 @@ def q_field_cosine(spark, sf_dir):
     p = pairs(spark, sf_dir)
     t = Tables(spark, sf_dir)
     qdocs = t.benchmark.select(F.concat(F.lit("q"), F.col("item_id").cast("string")).alias("key"),
-                               TX.drop_stop(TX.words("text")).alias("tokens"))
-    ddocs = t.documents.select(F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("key"),
-                               TX.drop_stop(TX.words("text")).alias("tokens"))
-    tf = TF.term_counts(qdocs.unionByName(ddocs), "key", "tokens")
-    w = TF.tfidf(tf, "key", TF.fit_idf(tf, "key", MIN_DF, MAX_DF))
+                               TX.words("text").alias("tokens"))
+    ddocs = docs(spark, sf_dir).select(F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("key"),
+                                       TX.words("text").alias("tokens"))
+    tf = TF.term_counts(qdocs.unionByName(ddocs), "key", "tokens", TX.STOP_WORDS)
+    n = t.benchmark.agg(F.count(F.lit(1))).scalar() + n_docs(spark, sf_dir)
+    w = TF.tfidf(tf, "key", TF.fit_idf(tf, "key", MIN_DF, MAX_DF, n))
     wq = w.where(F.col("key").startswith("q")).select(F.substring("key", 2, 30).cast("long").alias("item_id"),
                                                       "term", "w")
     wt = w.where(F.col("key").startswith("d")).select(F.substring("key", 2, 30).cast("long").alias("doc_id"),
@@ -97,7 +113,7 @@ def q_field_cosine(spark, sf_dir):
 
 
 def q_top_vocab(spark, sf_dir):
-    tf = TF.term_counts(_doc_tokens(spark, sf_dir), "doc_id", "tokens")
+    tf = _doc_tf(spark, sf_dir)
     top = TF.top_terms(tf, TOP_K)
     # rank inside the k kept rows (a bounded window: k rows)
     from pyspark.sql import Window
@@ -149,9 +165,9 @@ PAIRS = """pairs AS (SELECT d.doc_id, d.text, b.item_id, b.text AS query FROM do
 DOCTOK = f"doctok AS (SELECT doc_id, {_nostop(_words('text'))} AS tokens FROM documents)"
 
 
-def _tfidf_sql(src: str, key: str) -> str:
+def _tfidf_sql(src: str, key: str, n_expr: str = "(SELECT count(*) FROM documents)") -> str:
     return f"""tf AS (SELECT {key}, term, count(*) AS tf FROM (SELECT {key}, unnest(tokens) AS term FROM {src}) GROUP BY ALL),
-nd AS (SELECT count(DISTINCT {key}) AS n FROM tf),
+nd AS (SELECT {n_expr} AS n),
 idf AS (SELECT term, ln((1 + (SELECT n FROM nd)) / (1 + count(*))) + 1 AS idf FROM tf GROUP BY term
         HAVING count(*) >= {MIN_DF} AND count(*) <= (SELECT n FROM nd) * {MAX_DF}),
 w0 AS (SELECT {key}, term, (ln(tf) + 1) * idf AS w FROM tf JOIN idf USING (term)),
@@ -195,7 +211,7 @@ FROM pairs p LEFT JOIN hit USING (doc_id, item_id) LEFT JOIN sz USING (item_id)
     "field_cosine": f"""WITH {PAIRS},
 docs AS (SELECT 'q' || item_id AS key, {_nostop(_words('text'))} AS tokens FROM benchmark
          UNION ALL SELECT 'd' || doc_id, {_nostop(_words('text'))} FROM documents),
-{_tfidf_sql('docs', 'key')},
+{_tfidf_sql('docs', 'key', "(SELECT count(*) FROM benchmark) + (SELECT count(*) FROM documents)")},
 wq AS (SELECT CAST(substr(key, 2) AS BIGINT) AS item_id, term, w FROM w WHERE key LIKE 'q%'),
 wt AS (SELECT CAST(substr(key, 2) AS BIGINT) AS doc_id, term, w FROM w WHERE key LIKE 'd%'),
 dot AS (SELECT p.doc_id, p.item_id, sum(wt.w * wq.w) AS dot FROM pairs p JOIN wt USING (doc_id)
@@ -220,13 +236,12 @@ LSA_K = 8
 
 def q_stem_terms(spark, sf_dir):
     from tabwright.operators.lsa import stem_terms
-    d = _doc_tokens(spark, sf_dir)
-    return stem_terms(d.select(F.explode("tokens").alias("term")))
+    return stem_terms(_doc_tf(spark, sf_dir).select("term"))
 
 
 def _doc_weights(spark, sf_dir):
-    tf = TF.term_counts(_doc_tokens(spark, sf_dir), "doc_id", "tokens")
-    return TF.tfidf(tf, "doc_id", TF.fit_idf(tf, "doc_id", MIN_DF, MAX_DF))
+    tf = _doc_tf(spark, sf_dir)
+    return TF.tfidf(tf, "doc_id", TF.fit_idf(tf, "doc_id", MIN_DF, MAX_DF, n_docs(spark, sf_dir)))
 
 
 def q_lsa_project(spark, sf_dir):
