@@ -12,10 +12,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def term_counts(docs: DataFrame, key: str, tokens: str, stop_words=None) -> DataFrame:
-    """``(key, term, tf)`` from an array-of-tokens column.  Stop words are removed after the explode
-    (a plain ``isin`` filter, cheaper than filtering every array with a lambda).  When ``docs`` is
-    hash-partitioned by ``key`` the count needs no further shuffle."""
+def term_counts(docs: DataFrame, key: str, tokens, stop_words=None) -> DataFrame:
+    """``(key, term, tf)`` from an array-of-tokens column or expression.  Pass the tokenising
+    *expression* (not a pre-projected column) so the explode consumes it directly; stop words are
+    removed after the explode (a plain ``isin`` filter, cheaper than a lambda over every array).
+    When ``docs`` is hash-partitioned by ``key`` the count needs no further shuffle."""
     t = docs.select(key, F.explode(tokens).alias("term"))
     if stop_words:
         t = t.where(~F.col("term").isin(list(stop_words)))

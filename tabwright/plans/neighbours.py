@@ -38,7 +38,7 @@ def q_knn_mean_feature(spark, sf_dir):
 
 def q_nb_by_group(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    w = _doc_weights(spark, sf_dir)
+    w = _doc_weights(spark, sf_dir).checkpoint(eager=True)  # read by fitting and by scoring
     docs = t.documents.select("doc_id", "lang")
     lab = t.labels.join(docs, "doc_id").select("doc_id", "lang", "quality")
     logp, prior = NB.fit(w.join(lab.select("doc_id"), "doc_id", "left_semi"), lab, "doc_id", "lang", "quality")

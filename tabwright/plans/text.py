@@ -55,8 +55,7 @@ def _doc_tokens(spark, sf_dir):
 
 
 def _doc_tf(spark, sf_dir):
-    words = docs(spark, sf_dir).select("doc_id", TX.words("text").alias("tokens"))
-    return TF.term_counts(words, "doc_id", "tokens", TX.STOP_WORDS)
+    return TF.term_counts(docs(spark, sf_dir), "doc_id", TX.words("text"), TX.STOP_WORDS)
 
 
 def q_ngrams(spark, sf_dir):
@@ -97,13 +96,12 @@ def q_query_coverage(spark, sf_dir):
 def q_field_cosine(spark, sf_dir):
     p = pairs(spark, sf_dir)
     t = Tables(spark, sf_dir)
-    qdocs = t.benchmark.select(F.concat(F.lit("q"), F.col("item_id").cast("string")).alias("key"),
-                               TX.words("text").alias("tokens"))
-    ddocs = docs(spark, sf_dir).select(F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("key"),
-                                       TX.words("text").alias("tokens"))
-    tf = TF.term_counts(qdocs.unionByName(ddocs), "key", "tokens", TX.STOP_WORDS)
+    qdocs = t.benchmark.select(F.concat(F.lit("q"), F.col("item_id").cast("string")).alias("key"), "text")
+    ddocs = docs(spark, sf_dir).select(F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("key"), "text")
+    tf = TF.term_counts(qdocs.unionByName(ddocs), "key", TX.words("text"), TX.STOP_WORDS)
     n = t.benchmark.agg(F.count(F.lit(1))).scalar() + n_docs(spark, sf_dir)
-    w = TF.tfidf(tf, "key", TF.fit_idf(tf, "key", MIN_DF, MAX_DF, n))
+    # the weights feed both sides of the similarity join and two norms: materialise them once
+    w = TF.tfidf(tf, "key", TF.fit_idf(tf, "key", MIN_DF, MAX_DF, n)).checkpoint(eager=True)
     wq = w.where(F.col("key").startswith("q")).select(F.substring("key", 2, 30).cast("long").alias("item_id"),
                                                       "term", "w")
     wt = w.where(F.col("key").startswith("d")).select(F.substring("key", 2, 30).cast("long").alias("doc_id"),
