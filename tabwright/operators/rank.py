@@ -35,10 +35,13 @@ def _partitions(df: DataFrame, partitions: int | None) -> int:
 
 
 def _stage_sorted(df: DataFrame, group: Sequence[str], order: Sequence, partitions: int | None) -> DataFrame:
+    """Range-partition and sort.  Without an explicit count the range exchange is sized by
+    ``spark.sql.shuffle.partitions`` and AQE may coalesce adjacent small ranges; a coalesced
+    partition is still one contiguous, locally sorted key range, so positions stay exact."""
     keys = [*_cols(group), *_cols(order)]
-    n = _partitions(df, partitions)
+    ranged = df.repartitionByRange(partitions, *keys) if partitions else df.repartitionByRange(*keys)
     return (
-        df.repartitionByRange(n, *keys)
+        ranged
         .sortWithinPartitions(*keys)
         .withColumn("_pid", F.spark_partition_id())
         .withColumn("_pos", F.monotonically_increasing_id() - F.shiftleft(F.col("_pid").cast("long"), _POS_BITS))
