@@ -2,10 +2,11 @@
 
 Sets are kept exploded as ``(entity_id, token[, attr])`` rows.  The set-overlap join is a
 token equi-join followed by a partial+final count per pair.  A token held by a large share of
-the entities on both sides is the skew case: such *hot* tokens are found from a degree table and
-salted — the left side's rows are spread over ``salt_buckets`` by a hash of the entity, the right
-side's rows of the same token are replicated once per bucket — so no single task joins a whole
-hot token.  Nothing is dropped; the pair list is the operator's output.
+the entities on both sides is the skew case: such *hot* tokens are found from a degree table
+(the heaviest ``max_hot`` of them, so the broadcast list has a fixed bound) and salted — the left
+side's rows are spread over ``salt_buckets`` by a hash of the entity, the right side's rows of the
+same token are replicated once per bucket — so no single task joins a whole hot token.  Nothing
+is dropped; the pair list is the operator's output.
 """
 
 from __future__ import annotations
@@ -46,19 +47,21 @@ def parse_token_set(items_col: str = "items"):
                        lambda s: F.struct(F.split(s, " ")[0].alias("token"), F.split(s, " ")[1].alias("attr")))
 
 
-def _hot_tokens(left: DataFrame, right: DataFrame, hot_rows: int) -> DataFrame:
-    """Tokens whose pair work (left degree × right degree) exceeds ``hot_rows``.
-
-    At most (total pair work / hot_rows) tokens qualify, so the table has a proven bound and
-    is broadcast."""
+def _hot_tokens(left: DataFrame, right: DataFrame, hot_rows: int, max_hot: int) -> DataFrame:
+    """The (at most ``max_hot``) tokens with the most pair work (left degree × right degree) above
+    ``hot_rows``.  The limit makes the broadcast size a constant; any further heavy token is still
+    joined correctly, with AQE's skew-join split as the fallback."""
     dl = left.groupBy("token").agg(F.count(F.lit(1)).alias("dl"))
     dr = right.groupBy("token").agg(F.count(F.lit(1)).alias("dr"))
-    return dl.join(dr, "token").where(F.col("dl") * F.col("dr") > hot_rows).select("token")
+    work = F.col("dl") * F.col("dr")
+    return dl.join(dr, "token").where(work > hot_rows).orderBy(work.desc(), F.col("token")).limit(max_hot) \
+        .select("token")
 
 
-def overlap_join(left: DataFrame, right: DataFrame, hot_rows: int = 1_000_000, salt_buckets: int = 64) -> DataFrame:
+def overlap_join(left: DataFrame, right: DataFrame, hot_rows: int = 1_000_000, salt_buckets: int = 64,
+                 max_hot: int = 10_000) -> DataFrame:
     """Token equi-join rows ``(left_id, right_id, token)`` with hot tokens salted."""
-    hot = F.broadcast(_hot_tokens(left, right, hot_rows).withColumn("_hot", F.lit(True)))
+    hot = F.broadcast(_hot_tokens(left, right, hot_rows, max_hot).withColumn("_hot", F.lit(True)))
     lt = left.join(hot, "token", "left").withColumn(
         "_salt", F.when(F.col("_hot"), F.abs(F.xxhash64("entity_id")) % salt_buckets).otherwise(F.lit(0)))
     rt = right.join(hot, "token", "left").withColumn(
