@@ -34,11 +34,16 @@ def _partitions(df: DataFrame, partitions: int | None) -> int:
     return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
 
 
-def _stage_sorted(df: DataFrame, group: Sequence[str], order: Sequence, partitions: int | None) -> DataFrame:
+def _stage_sorted(df: DataFrame, group: Sequence[str], order: Sequence, partitions: int | None,
+                  prefix=None) -> DataFrame:
     """Range-partition and sort.  Without an explicit count the range exchange is sized by
     ``spark.sql.shuffle.partitions`` and AQE may coalesce adjacent small ranges; a coalesced
-    partition is still one contiguous, locally sorted key range, so positions stay exact."""
-    keys = [*_cols(group), *_cols(order)]
+    partition is still one contiguous, locally sorted key range, so positions stay exact.
+
+    ``prefix`` (optional) is a long that is non-decreasing in (group, order) and determines the
+    group; sorting on (prefix, order) then equals sorting on (group, order), and the sorter
+    settles most comparisons on that one primitive prefix."""
+    keys = [prefix, *_cols(order)] if prefix is not None else [*_cols(group), *_cols(order)]
     ranged = df.repartitionByRange(partitions, *keys) if partitions else df.repartitionByRange(*keys)
     return (
         ranged
@@ -90,6 +95,7 @@ def rank_weighted_sum(
     weight: Column | str,
     group: Sequence[str] = (),
     partitions: int | None = None,
+    prefix: Column | None = None,
 ) -> DataFrame:
     """Per group: ``n``, ``sw`` = Σw and ``swr`` = Σ w·rank, rank 1-based ascending in ``order``.
 
@@ -98,7 +104,7 @@ def rank_weighted_sum(
     """
     group = list(group)
     w = F.col(weight) if isinstance(weight, str) else weight
-    staged = _stage_sorted(df.withColumn("_w", w.cast("double")), group, order, partitions)
+    staged = _stage_sorted(df.withColumn("_w", w.cast("double")), group, order, partitions, prefix)
     per = staged.groupBy("_pid", *group).agg(
         F.count(F.lit(1)).alias("_cnt"),
         F.sum("_w").alias("_sw"),
