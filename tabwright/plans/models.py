@@ -16,6 +16,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import FMRegressor, GBTRegressor, LinearRegression
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.ml import Pipeline
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tabwright.functions.scalar import day_index
@@ -205,7 +206,7 @@ def q_trial_table(spark, sf_dir):
     trials = spark.createDataFrame(rows, MD.TRIALS_SCHEMA)  # one row per trial: bounded by the grid
     params = F.from_json("params_json", "map<string,double>")
     defaults = F.create_map(*[F.lit(x) for kv in DEFAULTS.items() for x in (kv[0], float(kv[1]))])
-    best = F.row_number().over(__import__("pyspark.sql", fromlist=["Window"]).Window.orderBy("score", "trial_id"))
+    best = F.row_number().over(Window.orderBy("score", "trial_id"))  # one row per trial: bounded by the grid
     return trials.withColumn("is_best", (best == 1).cast("int")).withColumn(
         "full_params", F.to_json(F.map_concat(F.map_filter(defaults, lambda k, v: ~F.map_contains_key(params, k)),
                                               params)))

@@ -10,7 +10,6 @@ from tabwright.operators import knn as K
 from tabwright.operators import nbayes as NB
 from tabwright.operators.folds import half_split
 from tabwright.plans.text import _doc_weights
-from tabwright.plans.text import ORACLE as _TEXT_ORACLE  # noqa: F401
 from tabwright.sources.tables import Tables
 
 K_VOTE = 5
