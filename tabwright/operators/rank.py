@@ -63,6 +63,10 @@ def row_number_by(
 ) -> DataFrame:
     """1-based row number of each row inside ``group`` under ``order`` (distributed).
 
+    Meant for a global order or for few groups of any size (a model, a label, a fold).  For many
+    small groups (per user, per document) a plain window partitioned by the group is the better
+    plan: its partitions are bounded by the group size.
+
     The staged copy is checkpointed to the session's reliable checkpoint directory so the
     per-partition counts and the rows they are joined back to come from one materialisation
     (range bounds are sampled; a second evaluation could cut differently).
