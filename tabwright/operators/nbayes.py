@@ -15,9 +15,10 @@ def fit(train_w: DataFrame, labels: DataFrame, key: str, group: str, label: str,
     """``(group, class, term, logp)`` plus priors ``(group, class, prior)``; smoothing ``alpha``;
     the vocabulary is the group's training terms."""
     t = train_w.join(labels.select(key, group, F.col(label).alias("cls")), key)
+    # one pass over the weights; totals and vocabulary derive from the (group, class, term) sums
     fc = t.groupBy(group, "cls", "term").agg(F.sum("w").alias("fc"))
-    tot = t.groupBy(group, "cls").agg(F.sum("w").alias("tot"))
-    vocab = t.select(group, "term").distinct()
+    tot = fc.groupBy(group, "cls").agg(F.sum("fc").alias("tot"))
+    vocab = fc.select(group, "term").distinct()
     nv = vocab.groupBy(group).agg(F.count(F.lit(1)).alias("nv"))
     docs = labels.select(key, group, F.col(label).alias("cls")).distinct()
     prior = docs.groupBy(group, "cls").agg(F.count(F.lit(1)).alias("nd")).withColumn(
