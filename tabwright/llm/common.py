@@ -54,6 +54,20 @@ def with_group_values(rows: DataFrame, key: Sequence[str], salt_on: Sequence[str
     return salted.join(back, same(salted, back, [*key, "_salt"])).select(*rows.columns, *wholes)
 
 
+def attach(rows: DataFrame, table: DataFrame, key: Sequence[str], salt_on: Sequence[str], salts: int = 64,
+           how: str = "inner") -> DataFrame:
+    """Columns of ``table`` (one row per key) on every row, met on (key, salt): a hot key is spread.
+
+    ``rows`` is evaluated twice."""
+    key = list(key)
+    extra = [c for c in table.columns if c not in key]
+    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(*salt_on), F.lit(salts)).cast("int"))
+    spots, t = salted.select(*key, "_salt").distinct(), prefixed(table, key)
+    spots = spots.join(t, same(spots, t, key)).select(
+        *[F.col(k).alias("_r_" + k) for k in key], F.col("_salt").alias("_r__salt"), *extra)
+    return salted.join(spots, same(salted, spots, [*key, "_salt"]), how).select(*rows.columns, *extra)
+
+
 def with_block_rank(rows: DataFrame, group: Sequence[str], block: Column, order: Sequence, out: str,
                     weight: Column | None = None, total: str | None = None) -> DataFrame:
     """0-based gapless position inside ``group``, ordered by (block, order).

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from tabwright.operators.rank import row_number_by
 
-from .common import NOT_SPACE, materialise, prefixed, same, with_block_rank
+from .common import NOT_SPACE, attach, materialise, prefixed, same, with_block_rank
 
 WEIGHTS, SHARE, MAX_COPIES, FILLS, BLOCKS, SEED = (5.0, 2.0, 1.0), 1.5, 2, 4, 1024, "mix"
 
@@ -63,20 +63,10 @@ def source_targets(sizes: DataFrame, weights: Sequence[float], share: float, max
     return per.select("source", "source_size", target.alias("target"))
 
 
-def _attach(rows: DataFrame, table: DataFrame, blocks: int) -> DataFrame:
-    """Columns of a per-source table on every row, met on (source, block of U): a hot source is spread."""
-    rows_b = rows.withColumn("_b", F.floor(F.col("_u") * blocks).cast("int"))
-    pairs = rows_b.select("source", "_b").distinct()
-    t = prefixed(table, ["source"])
-    extra = [c for c in table.columns if c != "source"]
-    met = pairs.join(t, same(pairs, t, ["source"])).select(F.col("source").alias("_r_source"), F.col("_b").alias("_r__b"), *extra)
-    return rows_b.join(met, same(rows_b, met, ["source", "_b"])).select(*rows.columns, *extra)
-
-
 def allocate(units: DataFrame, targets: DataFrame, max_copies: int = MAX_COPIES, fills: int = FILLS,
              blocks: int = BLOCKS) -> DataFrame:
     """units: (…, source, size, n, _u, _pref), n rows each.  Adds source_size, target and copies."""
-    units = _attach(units, targets, 64)
+    units = attach(units, targets, ["source"], ["_id", "size"])
     if "_mean" not in units.columns:
         units = units.withColumn("_mean", F.lit(1.0))
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size") * F.col("_pref") / F.col("_mean")).otherwise(0.0)
@@ -92,7 +82,7 @@ def allocate(units: DataFrame, targets: DataFrame, max_copies: int = MAX_COPIES,
         taken = state.groupBy("source").agg(F.sum(F.col("size") * F.col("n") * (F.col("copies") + F.col("_more"))).alias("_taken"))
         t = prefixed(targets.select("source", "target"), ["source"])
         gaps = taken.join(t, same(taken, t, ["source"])).select("source", (F.col("target") - F.col("_taken")).alias("_gap"))
-        wanted = _attach(state, gaps, 64).withColumn("_all", F.col("size") * F.col("n"))
+        wanted = attach(state, gaps, ["source"], ["_id", "size"]).withColumn("_all", F.col("size") * F.col("n"))
         wanted = wanted.filter((F.col("_more") == 0) & (F.col("copies") < max_copies) & (F.col("size") > 0) &
                                (F.col("_all") <= F.col("_gap")))
         ranked = with_block_rank(wanted, ["source"], block, ["_q", *[c for c in keys if not c.startswith("_")]], "_before",
@@ -136,11 +126,9 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 def mixed_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
     """The mixture itself: rows of ``docs``, each as often as the mix takes it."""
     plan = mix(docs, id_col, text_col, source_col, **options).filter("copies > 0")
-    keys = [id_col, source_col, "size"]
     plan = plan.select(*[F.col(k).alias("_r_" + k) for k in (id_col, source_col)], F.col("size").alias("_r__size"), "copies").distinct()
     sized = docs.withColumn("_size", words(F.col(text_col)))
     met = sized.join(plan, same(sized, plan, [id_col, source_col, "_size"]))
-    del keys
     return met.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select(*docs.columns)
 
 
