@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat, exact_dedup, mixing, sharding, url_filter
+from . import chat, exact_dedup, mixing, sharding, simhash_dedup, url_filter
 from .common import read
 
 
@@ -26,5 +26,10 @@ def op8_mixing(spark, sf_dir):
     return mixing.mix_digest(read(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_exact_dedup, op4_sharding, op5_chat_formatting, op6_url_filters, op8_mixing)}
+def op10_simhash(spark, sf_dir):
+    return simhash_dedup.simhash_digest(read(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op2_exact_dedup, op4_sharding, op5_chat_formatting, op6_url_filters, op8_mixing,
+                                  op10_simhash)}
 ORACLE = {"op2_exact_dedup": exact_dedup.ORACLE, "op5_chat_formatting": chat.ORACLE}
