@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat, exact_dedup, mixing, sharding, simhash_dedup, url_filter
+from . import chat, exact_dedup, mixing, packing, quality_gam, sharding, simhash_dedup, url_filter
 from .common import read
 
 
@@ -30,6 +30,14 @@ def op10_simhash(spark, sf_dir):
     return simhash_dedup.simhash_digest(read(spark, sf_dir, "documents"))
 
 
+def op3_quality_classifier(spark, sf_dir):
+    return quality_gam.quality_digest(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op9_packing(spark, sf_dir):
+    return packing.pack_digest(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (op2_exact_dedup, op4_sharding, op5_chat_formatting, op6_url_filters, op8_mixing,
-                                  op10_simhash)}
+                                  op10_simhash, op3_quality_classifier, op9_packing)}
 ORACLE = {"op2_exact_dedup": exact_dedup.ORACLE, "op5_chat_formatting": chat.ORACLE}
