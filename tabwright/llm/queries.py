@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat, exact_dedup, mixing, packing, quality_gam, sharding, simhash_dedup, url_filter
+from . import chat, embed_dedup, exact_dedup, mixing, packing, quality_gam, sharding, simhash_dedup, suffix_dedup, url_filter
 from .common import read
 
 
@@ -38,6 +38,15 @@ def op9_packing(spark, sf_dir):
     return packing.pack_digest(read(spark, sf_dir, "documents"))
 
 
+def op1_suffix_dedup(spark, sf_dir):
+    return suffix_dedup.suffix_digest(read(spark, sf_dir, "documents"))
+
+
+def op7_embedding_dedup(spark, sf_dir):
+    return embed_dedup.embedding_groups(read(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {f.__name__: f for f in (op2_exact_dedup, op4_sharding, op5_chat_formatting, op6_url_filters, op8_mixing,
-                                  op10_simhash, op3_quality_classifier, op9_packing)}
+                                  op10_simhash, op3_quality_classifier, op9_packing,
+                                  op1_suffix_dedup, op7_embedding_dedup)}
 ORACLE = {"op2_exact_dedup": exact_dedup.ORACLE, "op5_chat_formatting": chat.ORACLE}
