@@ -126,10 +126,10 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 def mixed_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
     """The mixture itself: rows of ``docs``, each as often as the mix takes it."""
     plan = mix(docs, id_col, text_col, source_col, **options).filter("copies > 0")
-    plan = plan.select(*[F.col(k).alias("_r_" + k) for k in (id_col, source_col)], F.col("size").alias("_r__size"), "copies").distinct()
+    plan = plan.select(*[F.col(k).alias("_r_" + k) for k in (id_col, source_col)], F.col("size").alias("_r__size"), F.col("copies").alias("_copies")).distinct()
     sized = docs.withColumn("_size", words(F.col(text_col)))
     met = sized.join(plan, same(sized, plan, [id_col, source_col, "_size"]))
-    return met.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select(*docs.columns)
+    return met.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies")))).select(*docs.columns)
 
 
 def mix_digest(docs: DataFrame) -> DataFrame:

@@ -57,7 +57,8 @@ def jump_hash(key: Column, shards: int) -> Column:
 
 
 def shard(df: DataFrame, key: Sequence[str], shards: int, text_col: str = "text", slot_blocks: int = 1024) -> DataFrame:
-    """Rows of ``df`` with size, text_crc32, shard, grown_shard and a gapless slot inside the shard.
+    """Rows of ``df`` with size, text_crc32, shard, grown_shard and a gapless slot inside the shard
+    (columns of ``df`` with these names are replaced).
 
     Slots order a shard by (hash block, key): each of ``slot_blocks`` blocks of a shard is
     numbered by itself behind the blocks before it, so a shard of any size is spread."""
