@@ -10,7 +10,6 @@ shuffles and MLlib.  Sub-packages:
   blending, metrics, folds, encoders, text features, model jobs)
 * ``plans``     — the registered queries over the driver tables, each with
   its DuckDB oracle statement
-* ``streaming`` — intentionally thin: the reference has no streaming work
 """
 
 __version__ = "0.1.0"

@@ -75,9 +75,9 @@ def day_of(ts, origin: str = "2024-01-01") -> Column:
 
 
 def parse_date_code(code) -> tuple[Column, Column]:
-    """F7 on codes ``w<W>d<D>``: week is one character (the reference reads one digit)."""
+    """F7 on codes ``w<W>d<D>``, any number of digits each."""
     c = col(code)
-    return (F.substring(F.regexp_extract(c, r"w(\d+)", 1), 1, 1).cast("int"),
+    return (F.regexp_extract(c, r"w(\d+)", 1).cast("int"),
             F.regexp_extract(c, r"d(\d+)", 1).cast("int"))
 
 

@@ -42,7 +42,7 @@ def shuffled_folds(df: DataFrame, key: str, k: int = 5, seed: int = 0) -> DataFr
     base = df.select(key).withColumn("_h", md5_key(key, F.lit(seed)))
     r = row_number_by(base, ["_h", key], out="_rn")
     size = F.floor(df.agg(F.count(F.lit(1))).scalar() / k)
-    f = F.floor((F.col("_rn") - 1) / size)
+    f = F.when(size > 0, F.floor(F.try_divide(F.col("_rn") - 1, size)))  # fewer rows than folds: all train-only
     return r.select(key, F.when(f < k, f).otherwise(F.lit(-1)).cast("int").alias("fold"))
 
 

@@ -32,10 +32,10 @@ def knn(queries: DataFrame, base: DataFrame, k: int, qid: str, bid: str, vec: st
     nb = base.agg(F.count(F.lit(1))).first()[0]
     QB, BB = _blocks(nq, block_rows), _blocks(nb, block_rows)
     q = queries.select(F.col(qid).alias("qid"), F.col(vec).alias("vec"),
-                       (F.abs(F.xxhash64(qid)) % QB).alias("qb")).withColumn(
+                       (F.pmod(F.xxhash64(qid), F.lit(QB))).alias("qb")).withColumn(
         "bb", F.explode(F.sequence(F.lit(0), F.lit(BB - 1))))
     b = base.select(F.col(bid).alias("bid"), F.col(vec).alias("vec"), F.col(label).cast("double").alias("blabel"),
-                    (F.abs(F.xxhash64(bid)) % BB).alias("bb")).withColumn(
+                    (F.pmod(F.xxhash64(bid), F.lit(BB))).alias("bb")).withColumn(
         "qb", F.explode(F.sequence(F.lit(0), F.lit(QB - 1))))
 
     def block_topk(qdf: pd.DataFrame, bdf: pd.DataFrame) -> pd.DataFrame:

@@ -47,28 +47,17 @@ def parse_token_set(items_col: str = "items"):
                        lambda s: F.struct(F.split(s, " ")[0].alias("token"), F.split(s, " ")[1].alias("attr")))
 
 
-def _hot_tokens(left: DataFrame, right: DataFrame, hot_rows: int, max_hot: int) -> DataFrame:
-    """The (at most ``max_hot``) tokens with the most pair work (left degree × right degree) above
-    ``hot_rows``.  The limit makes the broadcast size a constant; any further heavy token is still
-    joined correctly, with AQE's skew-join split as the fallback."""
-    dl = left.groupBy("token").agg(F.count(F.lit(1)).alias("dl"))
-    dr = right.groupBy("token").agg(F.count(F.lit(1)).alias("dr"))
-    work = F.col("dl") * F.col("dr")
-    return dl.join(dr, "token").where(work > hot_rows).orderBy(work.desc(), F.col("token")).limit(max_hot) \
-        .select("token")
-
-
-def overlap_join(left: DataFrame, right: DataFrame, hot_rows: int = 1_000_000, salt_buckets: int = 64,
-                 max_hot: int = 10_000) -> DataFrame:
-    """Token equi-join rows ``(left_id, right_id, token)`` with hot tokens salted."""
-    hot = F.broadcast(_hot_tokens(left, right, hot_rows, max_hot).withColumn("_hot", F.lit(True)))
-    lt = left.join(hot, "token", "left").withColumn(
-        "_salt", F.when(F.col("_hot"), F.abs(F.xxhash64("entity_id")) % salt_buckets).otherwise(F.lit(0)))
-    rt = right.join(hot, "token", "left").withColumn(
-        "_salt", F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salt_buckets - 1)))
-                           .otherwise(F.array(F.lit(0)))))
-    return lt.select(F.col("entity_id").alias("left_id"), "token", "_salt").join(
-        rt.select(F.col("entity_id").alias("right_id"), "token", "_salt"), ["token", "_salt"]).drop("_salt")
+def overlap_join(left: DataFrame, right: DataFrame, salt_buckets: int = 64) -> DataFrame:
+    """Token equi-join rows ``(left_id, right_id, token)``, the same way for every token.
+
+    The left rows of a token are spread over ``salt_buckets`` slots; the right rows go to the slots
+    that exist, so a rare token is copied once per left row at most (no more than its pairs) and a
+    token of any weight is worked on in that many pieces, which AQE may split further."""
+    lt = left.select(F.col("entity_id").alias("left_id"), "token",
+                     F.pmod(F.xxhash64("entity_id"), F.lit(salt_buckets)).cast("int").alias("_salt"))
+    slots = lt.select("token", "_salt").distinct()
+    rt = right.select(F.col("entity_id").alias("right_id"), "token").join(slots, "token")
+    return lt.join(rt, ["token", "_salt"]).drop("_salt")
 
 
 def overlap_pairs(left: DataFrame, right: DataFrame, **kw) -> DataFrame:

@@ -26,26 +26,27 @@ def gini(df: DataFrame, y: str, pred: str, key: str, group: Sequence[str] = ())
     """M1: normalised Gini per group: G(pred order) / G(true order).
 
     Prediction order is descending ``pred`` with the later key first on ties (Z4); in ascending
-    terms that is ``(pred, key)``."""
+    terms that is ``(pred, key)``.  NULL where Σy or the true order's Gini is 0."""
     out, group = list(group), list(group) or ["_g"]
     base = df.select(*out, F.lit(0).alias("_g"), F.col(y).cast("double").alias("_y"), F.col(pred).alias("_p"),
                      F.col(key).alias("_k"))
     sp = rank_weighted_sum(base, ["_p", "_k"], "_y", group)
     st = rank_weighted_sum(base, ["_y", "_k"], "_y", group).select(*group, F.col("swr").alias("swr_t"))
     j = sp.join(st, group)
-    g_pred = F.col("n") / 2 - F.col("swr") / F.col("sw")
-    g_true = F.col("n") / 2 - F.col("swr_t") / F.col("sw")
-    return j.select(*out, (g_pred / g_true).alias("gini"))
+    g_pred = F.col("n") / 2 - F.try_divide(F.col("swr"), F.col("sw"))
+    g_true = F.col("n") / 2 - F.try_divide(F.col("swr_t"), F.col("sw"))
+    return j.select(*out, F.try_divide(g_pred, g_true).alias("gini"))
 
 
 def kappa_quadratic(df: DataFrame, a: str, b: str, group: Sequence[str] = (), round_pred: bool = False) -> DataFrame:
-    """M2: quadratic weighted kappa; ``round_pred`` rounds ``b`` half-even first."""
+    """M2: quadratic weighted kappa; ``round_pred`` rounds ``b`` half-even first.
+    NULL when both ratings are the same constant (no disagreement is expected)."""
     bb = F.bround(F.col(b)) if round_pred else F.col(b)
     x = df.select(*group, F.col(a).cast("double").alias("_a"), bb.cast("double").alias("_b"))
     s = x.groupBy(*group).agg(F.avg((F.col("_a") - F.col("_b")) ** 2).alias("_o"), F.avg(F.col("_a") ** 2).alias("_aa"),
                               F.avg(F.col("_b") ** 2).alias("_bb"), F.avg("_a").alias("_ma"), F.avg("_b").alias("_mb"))
     e = F.col("_aa") + F.col("_bb") - 2 * F.col("_ma") * F.col("_mb")
-    return s.select(*group, (1 - F.col("_o") / e).alias("kappa"))
+    return s.select(*group, (1 - F.try_divide(F.col("_o"), e)).alias("kappa"))
 
 
 def _level_grid(df: DataFrame, cols: Sequence[str]):
@@ -81,7 +82,7 @@ def logloss_accuracy(df: DataFrame, probs: str, label: str, eps: float = 1e-15)
 
 
 def auc(df: DataFrame, label: str, score: str, key: str, group: Sequence[str] = ()) -> DataFrame:
-    """M6: ROC AUC from tie-averaged ranks (Mann–Whitney U)."""
+    """M6: ROC AUC from tie-averaged ranks (Mann–Whitney U); NULL with one class only."""
     out, group = list(group), list(group) or ["_g"]
     base = df.select(*out, F.lit(0).alias("_g"), F.col(label).cast("double").alias("_l"), F.col(score).alias("_s"),
                      F.col(key).alias("_k"))
@@ -91,7 +92,7 @@ def auc(df: DataFrame, label: str, score: str, key: str, group: Sequence[str] =
     npos = base.groupBy(*group).agg(F.sum("_l").alias("_np"), F.count(F.lit(1)).alias("_n"))
     j = s.join(npos, group)
     u = F.col("swr") - F.col("_np") * (F.col("_np") + 1) / 2
-    return j.select(*out, (u / (F.col("_np") * (F.col("_n") - F.col("_np")))).alias("auc"))
+    return j.select(*out, F.try_divide(u, F.col("_np") * (F.col("_n") - F.col("_np"))).alias("auc"))
 
 
 def rmse(df: DataFrame, y: str, pred: str, group: Sequence[str] = ()) -> DataFrame:
@@ -117,7 +118,7 @@ def pair_accuracy(df: DataFrame, y: str, pred: str, key: str, group: Sequence[st
     s = rank_weighted_sum(u, ["_p", F.desc("_hi"), "_k"], "_hi", [*group, "_ya", "_yb"])
     conc = s.select(*group, (F.col("swr") - F.col("sw") * (F.col("sw") + 1) / 2).alias("_c"),
                     (F.col("sw") * (F.col("n") - F.col("sw"))).alias("_pairs"))
-    return conc.groupBy(*group).agg((F.sum("_c") / F.sum("_pairs")).alias("pair_accuracy")).select(
+    return conc.groupBy(*group).agg(F.try_divide(F.sum("_c"), F.sum("_pairs")).alias("pair_accuracy")).select(
         *out, "pair_accuracy")
 
 
@@ -132,6 +133,6 @@ def gini_shared_truth(df: DataFrame, y: str, pred: str, key: str, shared: Sequen
     truth_rows = df.select(*shared, F.col(y).cast("double").alias("_y"), F.col(key).alias("_k")).distinct()
     st = rank_weighted_sum(truth_rows, ["_y", "_k"], "_y", shared).select(*shared, F.col("swr").alias("swr_t"))
     j = sp.join(st, shared)
-    g_pred = F.col("n") / 2 - F.col("swr") / F.col("sw")
-    g_true = F.col("n") / 2 - F.col("swr_t") / F.col("sw")
+    g_pred = F.col("n") / 2 - F.try_divide(F.col("swr"), F.col("sw"))
+    g_true = F.col("n") / 2 - F.try_divide(F.col("swr_t"), F.col("sw"))
     return j.select(*shared, *variants, (g_pred / g_true).alias("gini"))

@@ -11,6 +11,8 @@ import hashlib
 import json
 from collections.abc import Callable, Sequence
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import IllegalArgumentException
 from pyspark.ml import Estimator, Model, Transformer
 from pyspark.ml.evaluation import Evaluator
 from pyspark.ml.feature import VectorAssembler
@@ -62,20 +64,22 @@ def params_record(params: dict) -> tuple[str, str]:
 def evaluate_grid(train: DataFrame, make: Callable[[dict], Estimator], grid: Sequence[dict], key: str,
                   score_fn: Callable[[DataFrame], float], feat: str, model_name: str) -> list[tuple]:
     """One trial per grid point — CV out-of-fold predictions scored by ``score_fn``.
-    A failing fit is recorded with status ``failed`` and no score (never zero predictions)."""
+    A grid point that the estimator or its fit rejects is recorded with status ``failed``, the first
+    line of the error and no score (never zero predictions); any other error ends the job."""
     rows = []
     for i, p in enumerate(grid):
         js, h = params_record(p)
         try:
             oof, _ = oof_predict(train, None, lambda p=p: make(p), key)
-            rows.append((i, feat, model_name, js, h, float(score_fn(oof)), "ok"))
-        except Exception:  # noqa: BLE001 - a failed trial is data, not a crash
-            rows.append((i, feat, model_name, js, h, None, "failed"))
+        except (IllegalArgumentException, Py4JJavaError) as e:  # a rejected parameter or a failed fit is data
+            rows.append((i, feat, model_name, js, h, None, "failed", str(e).splitlines()[0][:500]))
+            continue
+        rows.append((i, feat, model_name, js, h, float(score_fn(oof)), "ok", None))
     return rows
 
 
 TRIALS_SCHEMA = "trial_id int, feat string, model string, params_json string, params_md5 string, " \
-                "score double, status string"
+                "score double, status string, error string"
 
 
 class QWKEvaluator(Evaluator):

@@ -16,15 +16,20 @@ from tabwright.functions.scalar import day_of, week_of
 from tabwright.operators.encode import ordinal_codes
 
 DAYS = 7
+CODE_SLOTS = 64
 
 
 def event_panel(events: DataFrame, origin: str = "2024-01-01") -> DataFrame:
     """F7 + D8: ``(user_id, type, week, day, cnt)``; ``type`` is the 1-based alphabetical code of
     ``event_type``; week/day count from ``origin``."""
-    codes = ordinal_codes(events, "event_type", "type", base=1)
-    coded = events.select("user_id", "event_type", week_of("ts", origin).alias("week"),
-                          day_of("ts", origin).alias("day")).join(codes, "event_type")
-    return coded.groupBy("user_id", "type", "week", "day").agg(F.count(F.lit(1)).alias("cnt"))
+    counts = events.select("user_id", "event_type", week_of("ts", origin).alias("week"), day_of("ts", origin).alias("day")) \
+        .groupBy("user_id", "event_type", "week", "day").agg(F.count(F.lit(1)).alias("cnt"))
+    # the dictionary meets aggregated rows only, and on (type name, slot of the user): five type
+    # names never decide how many tasks do the join
+    codes = ordinal_codes(events, "event_type", "type", base=1).withColumn(
+        "_slot", F.explode(F.sequence(F.lit(0), F.lit(CODE_SLOTS - 1))))
+    counts = counts.withColumn("_slot", F.pmod(F.xxhash64("user_id"), F.lit(CODE_SLOTS)).cast("int"))
+    return counts.join(codes, ["event_type", "_slot"]).select("user_id", "type", "week", "day", "cnt")
 
 
 def n_types(panel: DataFrame):

@@ -34,9 +34,9 @@ class _World:
             "entity_id", F.col("c_nationkey").alias("country"))
 
     def same_customer_candidates(self):
-        """Per device the smallest cookie of the same customer (one candidate per device, zeros possible)."""
-        first = self.cookies.groupBy("o_custkey").agg(F.min("entity_id").alias("right_id"))
-        return self.devices.join(first, "o_custkey").select(F.col("entity_id").alias("left_id"), "right_id")
+        """Every (device, cookie) pair of one customer (the J1 equi-join; zeros possible)."""
+        cookies = self.cookies.select("o_custkey", F.col("entity_id").alias("right_id"))
+        return self.devices.join(cookies, "o_custkey").select(F.col("entity_id").alias("left_id"), "right_id")
 
 
 def q_equi_suffix_join(spark, sf_dir):
@@ -196,8 +196,7 @@ pairs AS (SELECT dt.entity_id AS left_id, ct.entity_id AS right_id, count(*) AS
 devc AS (SELECT entity_id, c_nationkey AS country FROM dev JOIN customer ON o_custkey = c_custkey),
 cooc AS (SELECT entity_id, c_nationkey AS country FROM coo JOIN customer ON o_custkey = c_custkey),
 firsts AS (SELECT dt.entity_id AS left_id, min(ct.entity_id) AS right_id FROM dt JOIN ct USING (token) GROUP BY 1),
-cand AS (SELECT d.entity_id AS left_id, f.right_id FROM dev d
-         JOIN (SELECT o_custkey, min(entity_id) AS right_id FROM coo GROUP BY 1) f USING (o_custkey)),
+cand AS (SELECT d.entity_id AS left_id, c.entity_id AS right_id FROM dev d JOIN coo c USING (o_custkey)),
 candc AS (SELECT c.left_id, c.right_id, count(x.token) AS n_common, count(cell.token) AS n_flagged
           FROM cand c LEFT JOIN (SELECT dt.entity_id AS left_id, ct.entity_id AS right_id, token
                                  FROM dt JOIN ct USING (token)) x USING (left_id, right_id)

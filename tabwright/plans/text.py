@@ -13,6 +13,7 @@ from tabwright.sources.tables import Tables
 
 MIN_DF, MAX_DF = 3, 0.5
 TOP_K = 200
+NGRAMS = (1, 2, 3, 5, 6)
 
 
 def docs(spark, sf_dir):
@@ -61,7 +62,7 @@ def _doc_tf(spark, sf_dir):
 def q_ngrams(spark, sf_dir):
     d = _doc_tokens(spark, sf_dir)
     out = None
-    for n in (1, 2):
+    for n in NGRAMS:
         g = d.select("doc_id", F.lit(n).alias("n"), TX.ngrams("tokens", n).alias("g")).select(
             "doc_id", "n", F.size("g").cast("long").alias("n_grams"),
             F.size(F.array_distinct("g")).cast("long").alias("n_distinct"))
@@ -183,10 +184,9 @@ SELECT doc_id, array_to_string(list_concat(list_transform({_words('query')}, lam
                                            list_transform({_words('text')}, lambda t: 'z' || t)), ' ') AS bag
 FROM pairs""",
     "ngrams": f"""WITH {DOCTOK},
-g AS (SELECT doc_id, 1 AS n, tokens AS g FROM doctok
-      UNION ALL
-      SELECT doc_id, 2, CASE WHEN len(tokens) >= 2 THEN list_transform(range(1, len(tokens)),
-                                  lambda i: tokens[i] || ' ' || tokens[i + 1]) ELSE [] END FROM doctok)
+g AS (SELECT doc_id, n, list_transform(range(1, greatest(len(tokens) - n + 2, 1)),
+                                   lambda i: array_to_string(tokens[i:i + n - 1], ' ')) AS g
+      FROM doctok, (SELECT unnest({list(NGRAMS)}) AS n))
 SELECT doc_id, n, CAST(len(g) AS BIGINT) AS n_grams, CAST(len(list_distinct(g)) AS BIGINT) AS n_distinct FROM g""",
     "tfidf": f"""WITH {DOCTOK}, {_tfidf_sql('doctok', 'doc_id')}
 SELECT doc_id, count(*) AS n_terms, round(sum(w), 6) AS w_sum, round(max(w), 6) AS w_max FROM w GROUP BY doc_id""",

@@ -43,7 +43,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
         return sc.getCheckpointDir()
-    if not sc.master.startswith("local"):
+    if not (sc.master == "local" or sc.master.startswith("local[")):
         # a machine-local folder is not shared by the executors of a cluster
         raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on the cluster file system)")
     scratch = tempfile.mkdtemp(prefix="tabwright-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
