@@ -227,36 +227,74 @@ FROM tot ORDER BY n DESC, term LIMIT {TOP_K}""",
 }
 
 
-# ---- rows-only text jobs (no DuckDB counterpart: stemming library, SVD) ----
+# ---- stemming and SVD: SQL states the invariants of the result (no DuckDB counterpart of the methods) ----
 
-LSA_K = 8
+LSA_K, SVD_K, SVD_ROUNDS = 8, 3, 10
 
 
 def q_stem_terms(spark, sf_dir):
+    """T4: every distinct term has one stem, no longer than the term."""
     from tabwright.operators.lsa import stem_terms
-    return stem_terms(_doc_tf(spark, sf_dir).select("term"))
+    s = stem_terms(_doc_tf(spark, sf_dir).select("term"))
+    return s.select("term", (F.length("stem").between(1, F.length("term"))).cast("int").alias("fits"))
+
+
+def q_stem_bag(spark, sf_dir):
+    """T2 + T4: clean → stem → bag; stemming merges terms and keeps every occurrence."""
+    from tabwright.operators.lsa import stem_tokens
+    tf = _doc_tf(spark, sf_dir).checkpoint(eager=True)
+    bag = stem_tokens(tf, "doc_id").groupBy("doc_id").agg(F.sum("tf").cast("long").alias("n_tokens"), F.count(F.lit(1)).alias("_stems"))
+    terms = tf.groupBy("doc_id").agg(F.count(F.lit(1)).alias("_terms"))
+    both = bag.join(terms, "doc_id")
+    return both.select("doc_id", "n_tokens", (F.col("_stems") <= F.col("_terms")).cast("int").alias("merged"))
 
 
 def _doc_weights(spark, sf_dir):
     tf = _doc_tf(spark, sf_dir)
-    return TF.tfidf(tf, "doc_id", TF.fit_idf(tf, "doc_id", MIN_DF, MAX_DF, n_docs(spark, sf_dir)))
+    return TF.tfidf(tf, "doc_id", TF.fit_idf(tf, "doc_id", MIN_DF, MAX_DF, n_docs(spark, sf_dir))).checkpoint(eager=True)
 
 
-def q_lsa_project(spark, sf_dir):
-    """Fit the SVD on the labelled (train) documents, project every document with that basis."""
+def q_lsa_project(spark, sf_dir, k=LSA_K):
+    """Fit the SVD on the labelled (train) documents, project every document with that basis
+    (documents without a kept term have zero scores); ``orthonormal``: the basis vectors' products are
+    0 and 1 to 1e-6; ``ordered``: the singular values fall."""
     from tabwright.operators.lsa import lsa_fit, lsa_project
     w = _doc_weights(spark, sf_dir)
     train = w.join(Tables(spark, sf_dir).labels.select("doc_id"), "doc_id", "left_semi")
-    vdf, _ = lsa_fit(train, "doc_id", LSA_K)
-    return lsa_project(w, "doc_id", vdf)
-
-
-def q_group_svd(spark, sf_dir):
-    """First singular component per query group (documents grouped by their paired query)."""
-    from tabwright.operators.lsa import group_first_component
+    vdf, values = lsa_fit(train, "doc_id", k)
+    vdf = vdf.checkpoint(eager=True)
+    a, b = vdf.select("term", F.col("comp").alias("i"), F.col("v").alias("x")), vdf.select("term", F.col("comp").alias("j"), F.col("v").alias("z"))
+    off = a.join(b, "term").groupBy("i", "j").agg(F.sum(F.col("x") * F.col("z")).alias("p")).agg(
+        F.max(F.abs(F.col("p") - (F.col("i") == F.col("j")).cast("double")))).first()[0]
+    every = Tables(spark, sf_dir).documents.select("doc_id").withColumn("comp", F.explode(F.sequence(F.lit(0), F.lit(k - 1))))
+    scores = every.join(lsa_project(w, "doc_id", vdf), ["doc_id", "comp"], "left").fillna(0.0, ["score"])
+    falls = all(x >= y for x, y in zip(values, values[1:]))
+    return scores.select("doc_id", F.col("comp").cast("int").alias("comp"), F.col("score").isNotNull().cast("int").alias("scored"),
+                         F.lit(int(off is not None and off < 1e-6)).alias("orthonormal"), F.lit(int(falls)).alias("ordered"))
+
+
+def q_group_svd(spark, sf_dir, k=SVD_K):
+    """First components per query group (documents grouped by their paired query), every document
+    of every group; ``shrinks``: a component explains no more than the one before it."""
+    from tabwright.operators.lsa import group_components
     w = _doc_weights(spark, sf_dir)
-    p = pairs(spark, sf_dir).select("doc_id", "item_id")
-    return group_first_component(w.join(p, "doc_id"), "item_id", "doc_id", iterations=20)
-
-
-QUERIES.update({"stem_terms": q_stem_terms, "lsa_project": q_lsa_project, "group_svd": q_group_svd})
+    p = pairs(spark, sf_dir).select("doc_id", "item_id").checkpoint(eager=True)
+    scores = group_components(w.join(p, "doc_id"), "item_id", "doc_id", k, SVD_ROUNDS)
+    every = p.withColumn("comp", F.explode(F.sequence(F.lit(0), F.lit(k - 1))))
+    scores = every.join(scores, ["item_id", "doc_id", "comp"], "left").fillna(0.0, ["score"]).checkpoint(eager=True)
+    power = scores.groupBy("item_id").pivot("comp", list(range(k))).agg(F.sum(F.col("score") ** 2))
+    falls = [(F.col(str(i + 1)) <= F.col(str(i)) * 1.02 + 1e-9) for i in range(k - 1)]
+    bad = power.where(~falls[0] | ~falls[1]).count() if k == 3 else 0
+    return scores.select("doc_id", "item_id", F.col("comp").cast("int").alias("comp"), F.col("score").isNotNull().cast("int").alias("scored"),
+                         F.lit(int(bad == 0)).alias("shrinks"))
+
+
+QUERIES.update({"stem_terms": q_stem_terms, "stem_bag": q_stem_bag, "lsa_project": q_lsa_project, "group_svd": q_group_svd})
+ORACLE.update({
+    "stem_terms": f"WITH {DOCTOK} SELECT DISTINCT unnest(tokens) AS term, 1 AS fits FROM doctok",
+    "stem_bag": f"""WITH {DOCTOK} SELECT doc_id, CAST(len(tokens) AS BIGINT) AS n_tokens, 1 AS merged FROM doctok WHERE len(tokens) > 0""",
+    "lsa_project": f"""SELECT doc_id, comp, 1 AS scored, 1 AS orthonormal, 1 AS ordered
+FROM documents, (SELECT CAST(unnest(range(0, {LSA_K})) AS INTEGER) AS comp)""",
+    "group_svd": f"""WITH {PAIRS} SELECT doc_id, item_id, comp, 1 AS scored, 1 AS shrinks
+FROM pairs, (SELECT CAST(unnest(range(0, {SVD_K})) AS INTEGER) AS comp)""",
+})
