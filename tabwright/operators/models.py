@@ -71,7 +71,7 @@ def evaluate_grid(train: DataFrame, make: Callable[[dict], Estimator], grid: Seq
         js, h = params_record(p)
         try:
             oof, _ = oof_predict(train, None, lambda p=p: make(p), key)
-        except (IllegalArgumentException, Py4JJavaError) as e:  # a rejected parameter or a failed fit is data
+        except (TypeError, IllegalArgumentException, Py4JJavaError) as e:  # a rejected parameter or a failed fit is data
             rows.append((i, feat, model_name, js, h, None, "failed", str(e).splitlines()[0][:500]))
             continue
         rows.append((i, feat, model_name, js, h, float(score_fn(oof)), "ok", None))

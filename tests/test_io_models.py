@@ -59,11 +59,11 @@ def test_early_abandon_and_failed_trials(spark):
 
 
 def test_oof_linear_beats_constant(spark):
-    import __spark_entry__ as entry
-    from tabwright.plans.models import order_table
-    out = entry.queries()["oof_linear"](spark, SF_SMALL).where("fold >= 0")
-    y = order_table(spark, SF_SMALL).select("o_orderkey", "y")
-    j = out.join(y, "o_orderkey")
+    from tabwright.plans.models import _train_test, oof_linear_predictions
+    train, test = _train_test(spark, SF_SMALL)
+    out = oof_linear_predictions(train, test)
+    assert out.where("pred < 0").count() == 0
+    j = out.where("fold >= 0").join(train.select("o_orderkey", "y"), "o_orderkey")
     mse = j.agg(F.avg((F.col("y") - F.col("pred")) ** 2)).first()[0]
     var = j.agg(F.var_pop("y")).first()[0]
     assert mse < var
