@@ -38,8 +38,9 @@ def rate_cube(df: DataFrame, keys: Mapping[str, Sequence], label, cut: float = 0
 
 
 def score_by_lookup(df: DataFrame, cube: DataFrame, keys: Sequence[str], pred: str = "pred") -> DataFrame:
-    """Table-lookup scoring — left join on the cube keys, missing cell → 0."""
-    return df.join(F.broadcast(cube.select(*keys, pred)), list(keys), "left").withColumn(
+    """Table-lookup scoring — left join on the cube keys, missing cell → 0.  The cube comes from the
+    caller, so its size decides at run time whether it is broadcast (no hint)."""
+    return df.join(cube.select(*keys, pred), list(keys), "left").withColumn(
         pred, F.coalesce(F.col(pred), F.lit(0)))
 
 
@@ -107,12 +108,18 @@ def fill_median(df: DataFrame, c: str) -> DataFrame:
     return df.withColumn(c, F.coalesce(F.col(c), med))
 
 
+MEDIAN_SLOTS = 64
+
+
 def fill_group_median(df: DataFrame, c: str, group: Sequence[str]) -> DataFrame:
     """Fill NULL with the median of the row's group (groups may be huge: no per-group collect)."""
     med = exact_median(df, c, group, out="_median")
-    med = med.select(*[F.col(g).alias(f"_g_{g}") for g in group], "_median")
-    cond = [F.col(g).eqNullSafe(F.col(f"_g_{g}")) for g in group]
-    return (df.join(med, cond, "left")
+    # a group of any size meets its median on (group, slot)
+    med = med.select(*[F.col(g).alias(f"_g_{g}") for g in group], "_median",
+                     F.explode(F.sequence(F.lit(0), F.lit(MEDIAN_SLOTS - 1))).alias("_m_slot"))
+    cond = [F.col(g).eqNullSafe(F.col(f"_g_{g}")) for g in group] + [F.col("_slot") == F.col("_m_slot")]
+    slotted = df.withColumn("_slot", F.pmod(F.xxhash64(*df.columns), F.lit(MEDIAN_SLOTS)).cast("int"))
+    return (slotted.join(med, cond, "left")
             .withColumn(c, F.coalesce(F.col(c), F.col("_median")))
             .select(*df.columns))
 

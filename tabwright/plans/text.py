@@ -71,7 +71,7 @@ def q_ngrams(spark, sf_dir):
 
 
 def q_tfidf(spark, sf_dir):
-    tf = _doc_tf(spark, sf_dir)
+    tf = _doc_tf(spark, sf_dir).checkpoint(eager=True)  # read by the document frequencies and by the weights
     w = TF.tfidf(tf, "doc_id", TF.fit_idf(tf, "doc_id", MIN_DF, MAX_DF, n_docs(spark, sf_dir)))
     return w.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_terms"), F.round(F.sum("w"), 6).alias("w_sum"),
                                    F.round(F.max("w"), 6).alias("w_max"))
@@ -86,10 +86,12 @@ def q_token_overlap(spark, sf_dir):
 
 def q_query_coverage(spark, sf_dir):
     p = pairs(spark, sf_dir)
-    qt = p.select("item_id", F.explode(TX.words("query", TX.WORD2)).alias("term")).distinct()
+    items = p.select("item_id").distinct()
+    queries = Tables(spark, sf_dir).benchmark.join(items, "item_id", "left_semi")  # each query's text once, not once a document
+    qt = queries.select("item_id", F.explode(TX.words("text", TX.WORD2)).alias("term")).distinct()
     dt = p.select("doc_id", F.explode(TX.words("text", TX.WORD2)).alias("term")).distinct()
     cov = TF.coverage(qt, dt, p.select("doc_id", "item_id"), "item_id", "doc_id")
-    ords = ordinal_codes(p.select("item_id"), "item_id", "query_ord")
+    ords = ordinal_codes(queries.select("item_id"), "item_id", "query_ord")
     return cov.join(ords, "item_id").select("doc_id", "item_id", F.round("coverage", 6).alias("coverage"),
                                             "query_ord")
 
@@ -229,7 +231,7 @@ FROM tot ORDER BY n DESC, term LIMIT {TOP_K}""",
 
 # ---- stemming and SVD: SQL states the invariants of the result (no DuckDB counterpart of the methods) ----
 
-LSA_K, SVD_K, SVD_ROUNDS = 8, 3, 10
+LSA_K, SVD_K, SVD_ROUNDS = 8, 3, 8
 
 
 def q_stem_terms(spark, sf_dir):

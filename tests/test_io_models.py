@@ -55,7 +55,7 @@ def test_early_abandon_and_failed_trials(spark):
     assert oof is None and tp is None
     rows = MD.evaluate_grid(df, lambda p: LinearRegression(labelCol="y", **p),
                             [{"regParam": 0.0}, {"noSuchParam": 1.0}], "id", lambda o: 0.0, "f", "linear")
-    assert [r[-1] for r in rows] == ["ok", "failed"] and rows[1][5] is None
+    assert [r[6] for r in rows] == ["ok", "failed"] and rows[1][5] is None and "noSuchParam" in rows[1][7]
 
 
 def test_oof_linear_beats_constant(spark):
