@@ -160,8 +160,9 @@ def q_fm(spark, sf_dir):
 
 
 def doc_table(spark, sf_dir):
-    """Documents with text features, rating (null without labels) and part: md5-derived thirds, of which
-    the last is never trained on."""
+    """Documents with text features, rating and part: md5-derived thirds, of which the last is never trained on.
+
+    rating (null without labels): 1, one more for good documents, one more for good ones above 1,500 characters."""
     t = Tables(spark, sf_dir)
     text = F.coalesce("text", F.lit(""))
     chars = F.greatest(F.length(text), F.lit(1))
@@ -172,9 +173,10 @@ def doc_table(spark, sf_dir):
         (F.length(F.regexp_replace(text, r"[^A-Z]", "")) / chars).alias("upper"),
         (F.length(F.regexp_replace(text, r"[^#$%&*!|]", "")) / chars).alias("marks"),
         (F.size(F.array_distinct(tokens)) / F.size(tokens)).alias("distinct_words"),
-        third.alias("part"))
-    lab = t.labels.select("doc_id", (1 + F.col("quality") + 2 * F.col("toxic")).cast("double").alias("rating"))
-    return _materialised(MD.assemble(d.join(lab, "doc_id", "left"), DOC_FEATURES).withColumn("label", F.col("rating") - 1))
+        third.alias("part"), (F.length(text) > 1500).cast("int").alias("_long"))
+    d = d.join(t.labels.select("doc_id", "quality"), "doc_id", "left").withColumn(
+        "rating", (1 + F.col("quality") * (1 + F.col("_long"))).cast("double")).drop("quality", "_long")
+    return _materialised(MD.assemble(d, DOC_FEATURES).withColumn("label", F.col("rating") - 1))
 
 
 def _labelled(spark, sf_dir):
@@ -218,7 +220,7 @@ def fit_linear_svc(train, steps=50):
 
 
 def fit_multiclass_gbt(train, trees=10):
-    """Multi-class boosted trees as one-vs-rest binary GBTs (4 rating classes)."""
+    """Multi-class boosted trees as one-vs-rest binary GBTs (3 rating classes)."""
     return OneVsRest(classifier=GBTClassifier(maxIter=trees, maxDepth=3, seed=7)).fit(train)
 
 
@@ -232,8 +234,8 @@ def rank_predictions(train, alld):
 def q_rank_svc(spark, sf_dir):
     """The floor is the share of rightly ordered held-out pairs of a language, above one half."""
     train, alld, held = _labelled(spark, sf_dir)
-    pred = _materialised(rank_predictions(train.withColumn("rating", F.col("rating") % 2), alld))
-    scored = held.select("doc_id", (F.col("rating") % 2).cast("int").alias("y")).join(pred, "doc_id")
+    pred = _materialised(rank_predictions(train, alld))
+    scored = held.select("doc_id", F.col("rating").cast("int").alias("y")).join(pred, "doc_id")
     got = pair_accuracy(scored, "y", "pred", "doc_id", ["lang"]).agg(F.avg("pair_accuracy")).first()[0]
     return _stated(pred, ["doc_id", "lang"], int((got or 0) > 0.5))
 
@@ -329,11 +331,13 @@ def q_activity_gate(spark, sf_dir):
     active when the last week of the window has more events than the median training week; in the
     driver's events the following week does not depend on the past."""
     panel = _materialised(P.event_panel(Tables(spark, sf_dir).events))
-    w = P.window_features(panel, [1, 2, 3]).withColumn(
-        "features", array_to_vector(F.transform("features", lambda x: x.cast("double"))))
+    w = P.window_features(panel, [1, 2, 3])
     week = panel.groupBy(F.col("user_id").alias("_u"), F.col("week").alias("_w")).agg(F.sum("cnt").alias("_n"))
     w = w.join(week, (F.col("user_id") == F.col("_u")) & (F.col("start_week") + 1 == F.col("_w")), "left").fillna(0, ["_n"])
-    w = _materialised(w.select("user_id", "start_week", "features", "_n"))
+    # the counts of the window, their total and the last week's total
+    total = F.aggregate("features", F.lit(0).cast("long"), lambda a, x: a + x)
+    vector = F.transform(F.concat("features", F.array(total, F.col("_n"))), lambda x: x.cast("double"))
+    w = _materialised(w.select("user_id", "start_week", array_to_vector(vector).alias("features"), "_n"))
     middle = w.where("start_week < 3").agg(F.percentile("_n", 0.5)).first()[0] or 0.0
     w = w.withColumn("label", (F.col("_n") > middle).cast("double"))
     m = GBTClassifier(maxIter=20, maxDepth=3, seed=7).fit(w.where("start_week < 3"))
