@@ -40,17 +40,16 @@ def with_group_values(rows: DataFrame, key: Sequence[str], salt_on: Sequence[str
 
     A group may hold a third of all rows, so rows meet their group's values on
     (key, salt): ``parts`` (name -> aggregate over rows) are built per (key, salt),
-    ``wholes`` (name -> aggregate over the parts) per key from at most ``salts`` rows,
-    and only the (key, salt) pairs that exist are joined back.  ``rows`` is evaluated
-    twice: pass a materialised table when it is expensive.
+    ``wholes`` (name -> aggregate over the parts) in a window of at most ``salts`` rows
+    per key, and the (key, salt) pairs are joined back.  ``rows`` is evaluated twice: pass
+    a materialised table when it is expensive.
     """
     key = list(key)
     salted = rows.withColumn("_salt", F.pmod(F.xxhash64(*salt_on), F.lit(salts)).cast("int"))
     part = salted.groupBy(*key, "_salt").agg(*[c.alias(n) for n, c in parts.items()])
-    whole = prefixed(part.groupBy(*key).agg(*[c.alias(n) for n, c in wholes.items()]), key)
-    slim = part.select(*key, "_salt")
-    back = slim.join(whole, same(slim, whole, key)).select(
-        *[F.col(k).alias("_r_" + k) for k in key], F.col("_salt").alias("_r__salt"), *wholes)
+    group = Window.partitionBy(*key)
+    back = part.select(*[F.col(k).alias("_r_" + k) for k in key], F.col("_salt").alias("_r__salt"),
+                       *[c.over(group).alias(n) for n, c in wholes.items()])
     return salted.join(back, same(salted, back, [*key, "_salt"])).select(*rows.columns, *wholes)
 
 
