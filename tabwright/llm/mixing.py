@@ -27,7 +27,7 @@ from tabwright.operators.rank import row_number_by
 
 from .common import NOT_SPACE, attach, materialise, prefixed, same, with_block_rank
 
-WEIGHTS, SHARE, MAX_COPIES, FILLS, BLOCKS, SEED = (5.0, 2.0, 1.0), 1.5, 2, 4, 1024, "mix"
+WEIGHTS, SHARE, MAX_COPIES, FILLS, BLOCKS, SEED = (5.0, 2.0, 1.0), 1.5, 2, 2, 1024, "mix"
 
 
 def words(text: Column) -> Column:
@@ -77,22 +77,15 @@ def allocate(units: DataFrame, targets: DataFrame, max_copies: int = MAX_COPIES,
     state = materialise(state.withColumn("_q", q).withColumn("_more", F.lit(0).cast("long")))
     block = F.when(F.col("_q") == F.lit(float("inf")), F.lit(blocks)).otherwise(
         F.floor(F.col("_q") / (1 + F.col("_q")) * blocks))
-    keys = [c for c in units.columns if c not in ("_mean",)]
     for _ in range(fills + 1):
         taken = state.groupBy("source").agg(F.sum(F.col("size") * F.col("n") * (F.col("copies") + F.col("_more"))).alias("_taken"))
         t = prefixed(targets.select("source", "target"), ["source"])
         gaps = taken.join(t, same(taken, t, ["source"])).select("source", (F.col("target") - F.col("_taken")).alias("_gap"))
         wanted = attach(state, gaps, ["source"], ["_id", "size"]).withColumn("_all", F.col("size") * F.col("n"))
-        wanted = wanted.filter((F.col("_more") == 0) & (F.col("copies") < max_copies) & (F.col("size") > 0) &
-                               (F.col("_all") <= F.col("_gap")))
-        ranked = with_block_rank(wanted, ["source"], block, ["_q", *[c for c in keys if not c.startswith("_")]], "_before",
-                                 weight=F.col("_all"))
-        new = ranked.filter(F.col("_before") + F.col("_all") <= F.col("_gap"))
-        new = new.select(*[F.col(c).alias("_r_" + c) for c in ("_id", "source", "size")], F.lit(1).alias("_new"))
-        joined = state.join(new, same(state, new, ["_id", "source", "size"]), "left")
-        state = materialise(joined.select(
-            *[c for c in state.columns if c != "_more"],
-            (F.col("_more") + F.coalesce("_new", F.lit(0))).alias("_more")))
+        fits = (F.col("_more") == 0) & (F.col("copies") < max_copies) & (F.col("size") > 0) & (F.col("_all") <= F.col("_gap"))
+        ranked = with_block_rank(wanted, ["source"], block, ["_q", "_id", "size"], "_before", weight=F.when(fits, F.col("_all")).otherwise(0))
+        new = fits & (F.col("_before") + F.col("_all") <= F.col("_gap"))
+        state = materialise(ranked.select(*[c for c in state.columns if c != "_more"], (F.col("_more") + new.cast("long")).alias("_more")))
     return state.withColumn("copies", F.col("copies") + F.col("_more"))
 
 
