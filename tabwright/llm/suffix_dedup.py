@@ -256,18 +256,50 @@ def _bucket_results(contexts: DataFrame, size: int) -> DataFrame:
 
 
 def _hot_results(contexts: DataFrame, size: int) -> DataFrame:
-    """The same for hot buckets: suffixes meet by a digest of their bytes, partially aggregated."""
+    """The same for hot buckets (contexts with ``part``, the piece of the bucket they are in).
+
+    A task takes one piece of a bucket.  Suffixes that are equal inside a piece are settled there;
+    one row per different suffix (a digest of its bytes, with its count) goes on to meet the other
+    pieces, so copies inside a piece are combined before anything is shuffled."""
+    ordered = contexts.repartition("m", "part").sortWithinPartitions("m", "part", "c")
+    schema = "m long, c long, k long, w1 long, w2 long, n long, runs array<long>"
+    names = ["m", "c", "k", "w1", "w2", "n", "runs"]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def done(rows: list[tuple]) -> pa.RecordBatch:
+            rows = [r for i, r in enumerate(rows) if not i or r[:2] != rows[i - 1][:2]]  # one row per content
+            count = np.array([r[2] for r in rows])
+            digests = b"".join([xxhash.xxh3_128_digest(t[k:k + size]) for _, _, n, t in rows for k in range(n)])
+            both = np.frombuffer(digests, [("a", "<i8"), ("b", "<i8")])
+            _, first, back, times = np.unique(both, return_index=True, return_inverse=True, return_counts=True)
+            of = np.repeat(np.arange(len(rows)), count)
+            inside = np.arange(len(of)) - np.repeat(np.cumsum(count) - count, count)
+            c = np.array([r[1] for r in rows])
+            hits = np.split(times[back] > 1, np.cumsum(count)[:-1])
+            runs = [[(int(s) << 8) + int(n) for s, n in zip(*_runs(h))] for h in hits]
+            known = [i for i, r in enumerate(runs) if r]
+            cols = [np.full(len(first) + len(known), rows[0][0]), np.concatenate((c[of[first]], c[known])),
+                    *[np.concatenate((x, np.zeros(len(known), np.int64))) for x in (inside[first], both["a"][first], both["b"][first], times)]]
+            return pa.RecordBatch.from_arrays([*map(pa.array, cols), pa.array([None] * len(first) + [runs[i] for i in known], pa.list_(pa.int64()))],
+                                              names=names)
+
+        held, key = [], None
         for b in batches:
-            for i in range(b.num_rows):
-                m, c, _, count, text = (b.column(k)[i].as_py() for k in range(5))
-                both = np.frombuffer(b"".join([xxhash.xxh3_128_digest(text[k:k + size]) for k in range(count)]), "<i8").reshape(-1, 2)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(count, m)), pa.array(np.full(count, c)), pa.array(np.arange(count)),
-                                                  pa.array(both[:, 0].copy()), pa.array(both[:, 1].copy())], names=["m", "c", "k", "w1", "w2"])
+            for row in zip(*(col.to_pylist() for col in b.columns)):
+                m, c, _, count, text, part = row
+                if held and key != (m, part):
+                    yield done(held)
+                    held = []
+                key = (m, part)
+                held.append((m, c, count, text))
+        if held:
+            yield done(held)
 
-    suffixes = contexts.dropDuplicates(["m", "c"]).mapInArrow(run, "m long, c long, k long, w1 long, w2 long")
-    counted = with_group_values(suffixes, ["w1", "w2"], ["m", "c", "k"], {"_n": F.count(F.lit(1))}, {"n": F.sum("_n")}, salts=16)
-    return counted.filter("n > 1").groupBy("m", "c").agg(F.collect_list(F.shiftleft("k", 8) + 1).alias("runs"))  # one context's suffixes
+    pieces = materialise(ordered.mapInArrow(run, schema))
+    met = with_group_values(pieces.filter("runs IS NULL"), ["w1", "w2"], ["m", "c", "k"], {"_n": F.sum("n")}, {"total": F.sum("_n")}, salts=16)
+    more = met.filter("n = 1 AND total > 1").select("m", "c", F.array(F.shiftleft("k", 8) + 1).alias("runs"))
+    found = pieces.filter("runs IS NOT NULL").select("m", "c", "runs").unionByName(more)
+    return found.groupBy("m", "c").agg(F.flatten(F.collect_list("runs")).alias("runs"))  # one context's suffixes
 
 
 def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE, hot: int = HOT) -> DataFrame:
@@ -279,10 +311,13 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", siz
     hits = materialise(rows.join(known, F.col("m") == F.col("_m")).select("m", "c", "id", "x", "at", "mixed"))
     contents = hits.filter("mixed").groupBy("m", "c").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("id", "x", "at")).alias("one"))
     contents = materialise(contents.select("m", "c", "n", "one.id", "one.x", "one.at"))
-    sizes = materialise(contents.groupBy("m").agg(F.count(F.lit(1)).alias("different")).filter(F.col("different") > hot).select(F.col("m").alias("_m")))
+    sizes = contents.groupBy("m").agg(F.count(F.lit(1)).alias("different")).filter(F.col("different") > hot)
+    sizes = materialise(sizes.select("m", F.ceil(F.col("different") / hot).alias("_pieces")))
     contexts = materialise(_context_rows(keyed, contents.select("id", "x", "at", "m", "c"), size))
-    usual = contexts.join(sizes, F.col("m") == F.col("_m"), "left_anti")
-    crowded = contexts.join(sizes, F.col("m") == F.col("_m"), "left_semi")
+    # pieces reach the contexts on (m, salt): a hot bucket is never one join task
+    sized = attach(contexts, sizes, ["m"], ["c"], salts=16, how="left")
+    usual = sized.filter("_pieces IS NULL").select(*contexts.columns)
+    crowded = sized.filter("_pieces IS NOT NULL").select(*contexts.columns, F.pmod(F.xxhash64("c"), F.col("_pieces")).alias("part"))
     found = _bucket_results(usual, size).unionByName(_hot_results(crowded, size))
     # contents that occur twice are repeated whole
     copies = contents.filter("n > 1").select("m", "c", F.lit(True).alias("whole"))
