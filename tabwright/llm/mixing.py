@@ -75,7 +75,8 @@ def allocate(units: DataFrame, targets: DataFrame, max_copies: int = MAX_COPIES,
     q = F.when(F.col("_p") > 0, (F.col("_u") / (1 - F.col("_u"))) * ((1 - F.col("_p")) / F.col("_p"))).otherwise(
         F.lit(float("inf")))
     state = materialise(state.withColumn("_q", q).withColumn("_more", F.lit(0).cast("long")))
-    block = F.when(F.col("_q") == F.lit(float("inf")), F.lit(blocks)).otherwise(
+    # units without a fraction come last, in blocks of U: no block holds a whole source
+    block = F.when(F.col("_q") == F.lit(float("inf")), blocks + F.floor(F.col("_u") * blocks)).otherwise(
         F.floor(F.col("_q") / (1 + F.col("_q")) * blocks))
     for _ in range(fills + 1):
         taken = state.groupBy("source").agg(F.sum(F.col("size") * F.col("n") * (F.col("copies") + F.col("_more"))).alias("_taken"))
