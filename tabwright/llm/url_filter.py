@@ -7,9 +7,13 @@ PageRank carries trust from the trusted seeds along links between hosts, and dis
 from the blocked seeds along reversed links (who links to blocked hosts is suspect).
 A host is blocked when distrust makes up ``threshold`` or more of its score.
 
-Mass is counted in whole units of 1e-12, rounded down on each edge, so sums do not
-depend on the order of addition and reruns agree.  Mass at a host without links leaves
-the graph.  The iteration ends when the mass moved in a step is under ``tolerance``.
+Mass is a double, so a share of any size keeps its relative precision whatever the number
+of seeds (down to 1e-300).  Mass at a host without links leaves the graph.  A step adds the
+mass that has walked one edge more, so masses only grow.  When the k-th step adds at most
+the fraction e to each host's mass, all later steps together add at most e * (k + 1) of its
+final mass.  The walk ends when this bound is within ``tolerance`` on every host and can
+turn no verdict.  Scores are given in 1e-12 of a kind's seed mass and nine digits, and
+shares within ``TIE`` of the threshold reach it, so the order of addition has no say.
 
 Defined results: a null url, or one without ``://``, has empty host and path, fits no
 rule and is allowed; null html has no links; repeated pages each get their row; an empty
@@ -25,7 +29,7 @@ from pyspark.sql import functions as F
 
 from .common import materialise
 
-UNITS = 10 ** 12
+UNITS, TIE = 10 ** 12, 1e-9
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: (verdict, host, path) of the query.
 RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
@@ -59,30 +63,41 @@ def host_edges(pages: DataFrame, host: Column, html_col: str = "html") -> DataFr
     return edges.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("links"))
 
 
-def propagate(edges: DataFrame, seeds: DataFrame, damping: float = 0.8, tolerance: float = 0.01, most_steps: int = 100) -> DataFrame:
+def blocks(trust: Column, distrust: Column, threshold: float) -> Column:
+    return (distrust > 0) & (distrust >= F.lit(threshold * (1 - TIE)) * (trust + distrust))
+
+
+def by_host(mass: DataFrame) -> DataFrame:
+    """(host, trust, distrust) of (kind, host, mass)."""
+    return mass.groupBy("host").agg(*[F.sum(F.when(F.col("kind") == k, F.col("mass")).otherwise(0.0)).alias(k) for k in ("trust", "distrust")])
+
+
+def propagate(edges: DataFrame, seeds: DataFrame, damping: float = 0.8, tolerance: float = 0.01, threshold: float = 0.5) -> DataFrame:
     """(kind, host, mass) from edges (kind, src, dst, links) and seeds (kind, host, weight).
 
     ``kind`` keeps trust and distrust apart, so both walk in one pass."""
     total = seeds.groupBy("kind").agg(F.sum("weight").alias("_total"))
-    start = materialise(seeds.join(total, "kind").select("kind", "host", F.floor(F.lit(float(UNITS)) * F.col("weight") / F.col("_total"))
-                                                         .cast("long").alias("mass")))
+    base = materialise(seeds.join(total, "kind").select(
+        "kind", "host", (F.lit(UNITS * (1 - damping)) * F.col("weight") / F.col("_total")).alias("mass")))
     out = edges.groupBy("kind", F.col("src").alias("_src"), ).agg(F.sum("links").alias("_out")).withColumnRenamed("kind", "_kind")
     shares = edges.join(out, (F.col("kind") == F.col("_kind")) & (F.col("src") == F.col("_src")))
     shares = materialise(shares.select(F.col("kind").alias("_kind"), F.col("src").alias("_src"), "dst", (F.col("links") / F.col("_out")).alias("_share")))
     if shares.isEmpty():  # nothing to walk along: all mass stays where it starts
-        return start.withColumn("mass", F.floor(F.col("mass") * F.lit(1 - damping)).cast("long"))
-    base = start.select("kind", "host", F.floor(F.col("mass") * F.lit(1 - damping)).cast("long").alias("mass"))
-    rank = base
-    for _ in range(most_steps):
+        return base
+    rank, steps, none = base, 0, F.lit(0.0)
+    while True:
         walked = rank.join(shares, (F.col("kind") == F.col("_kind")) & (F.col("host") == F.col("_src"))).select(
-            "kind", F.col("dst").alias("host"), F.floor(F.col("mass") * F.col("_share") * F.lit(damping)).cast("long").alias("mass"))
-        new = materialise(base.unionByName(walked).groupBy("kind", "host").agg(F.sum("mass").alias("mass")))
-        moved = new.select("kind", "host", "mass").unionByName(rank.select("kind", "host", (-F.col("mass")).alias("mass")))
-        moved = moved.groupBy("kind", "host").agg(F.sum("mass").alias("d")).agg(F.sum(F.abs("d"))).first()[0] or 0
-        rank = new
-        if moved <= tolerance * UNITS * 2:
-            break
-    return rank
+            "kind", F.col("dst").alias("host"), (F.col("mass") * F.col("_share") * F.lit(damping)).alias("mass")).filter("mass > 0")
+        new = base.unionByName(walked).withColumn("was", none).unionByName(rank.select("kind", "host", none.alias("mass"), F.col("mass").alias("was")))
+        rank = materialise(new.groupBy("kind", "host").agg(F.sum("mass").alias("mass"), F.sum("was").alias("was")))
+        steps += 1
+        open_share = (steps + 1) * (rank.agg(F.max((F.col("mass") - F.col("was")) / F.col("mass"))).first()[0] or 0.0)
+        if open_share <= tolerance:
+            most = 1 / (1 - min(open_share, 0.5))
+            least_bad = blocks(F.col("trust") * most, F.col("distrust"), threshold)
+            most_bad = blocks(F.col("trust"), F.col("distrust") * most, threshold)
+            if open_share <= TIE or by_host(rank).filter(least_bad != most_bad).isEmpty():
+                return rank.select("kind", "host", "mass")
 
 
 def judge(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES, id_col: str = "page_id", url_col: str = "url",
@@ -101,17 +116,15 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES, id_co
     links = materialise(host_edges(pages, host, html_col))
     edges = links.select(F.lit("trust").alias("kind"), "src", "dst", "links").unionByName(
         links.select(F.lit("distrust").alias("kind"), F.col("dst").alias("src"), F.col("src").alias("dst"), "links"))
-    mass = propagate(edges, seeds, damping, tolerance)
-    scores = materialise(mass.groupBy(F.col("host").alias("_host")).agg(
-        F.sum(F.when(F.col("kind") == "trust", F.col("mass")).otherwise(0)).alias("trust"),
-        F.sum(F.when(F.col("kind") == "distrust", F.col("mass")).otherwise(0)).alias("distrust")))
+    scores = by_host(propagate(edges, seeds, damping, tolerance, threshold))
+    short = [F.format_string("%.8e", k).cast("double").alias(k) for k in ("trust", "distrust")]
+    scores = materialise(scores.select(F.col("host").alias("_host"), *short, blocks(F.col("trust"), F.col("distrust"), threshold).alias("_bad")))
     # pages of a hot host meet its scores on (host, salt)
     salted = seen.withColumn("_salt", F.pmod(F.xxhash64(id_col, "path"), F.lit(64)).cast("int"))
     spots = salted.select("host", "_salt").distinct()
     spots = spots.join(scores, spots["host"] == scores["_host"]).select(F.col("host").alias("_r_host"), F.col("_salt").alias("_r__salt"),
-                                                                       "trust", "distrust")
+                                                                       "trust", "distrust", "_bad")
     met = salted.join(spots, (salted["host"] == spots["_r_host"]) & (salted["_salt"] == spots["_r__salt"]), "left")
-    trust, distrust = F.coalesce("trust", F.lit(0)), F.coalesce("distrust", F.lit(0))
-    bad = (distrust > 0) & (distrust >= F.lit(threshold) * (trust + distrust))
-    return met.select(id_col, "host", "path", "rule", F.coalesce("_ruled", F.when(bad, F.lit("block")).otherwise(F.lit("allow"))).alias("verdict"),
+    trust, distrust = F.coalesce("trust", F.lit(0.0)), F.coalesce("distrust", F.lit(0.0))
+    return met.select(id_col, "host", "path", "rule", F.coalesce("_ruled", F.when(F.col("_bad"), F.lit("block")).otherwise(F.lit("allow"))).alias("verdict"),
                       trust.alias("trust"), distrust.alias("distrust"))

@@ -147,6 +147,20 @@ def test_propagation_blocks_who_links_to_blocked_hosts(spark):
     assert abs(rows["news.org"].trust - trust["news.org"]) < 1e9 and abs(rows["friend.io"].trust - trust["friend.io"]) < 1e9
 
 
+def test_propagation_does_not_depend_on_the_number_of_seeds(spark):
+    pages = [(f"http://s{i}.net/", "") for i in range(40)] + [(f"http://t{i}.org/fr/", "") for i in range(40)]
+    chain = ["s0.net", "a.io", "b.io", "c.io", "d.io", "e.io"]
+    pages += [(f"http://{h}/", f'<a href="http://{to}/">x</a>') for to, h in zip(chain, chain[1:])]
+    df = spark.createDataFrame([(i, *p) for i, p in enumerate(pages)], "page_id long, url string, html string")
+    rows = {r.host: r for r in url_filter.judge(df).collect()}
+    assert all(rows[h].verdict == "block" and abs(rows[h].distrust / (0.2 * 1e12 / 40 * 0.8 ** i) - 1) < 1e-8 for i, h in enumerate(chain))
+    # a seed that holds 1e-20 of its kind's mass still marks the hosts behind it
+    seeds = spark.createDataFrame([("distrust", "big", 1e20), ("distrust", "s", 1.0)], "kind string, host string, weight double")
+    edges = spark.createDataFrame([("distrust", "s", "a", 1), ("distrust", "a", "b", 1)], "kind string, src string, dst string, links long")
+    mass = {r.host: r.mass for r in url_filter.propagate(edges, seeds).collect()}
+    assert abs(mass["b"] / mass["s"] - 0.64) < 1e-9
+
+
 def brute_targets(sizes, weights=(5, 2, 1), share=1.5, most=2):
     order = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
     w = {s: weights[i % len(weights)] for i, s in enumerate(order)}
