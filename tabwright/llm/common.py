@@ -67,6 +67,20 @@ def attach(rows: DataFrame, table: DataFrame, key: Sequence[str], salt_on: Seque
     return salted.join(spots, same(salted, spots, [*key, "_salt"]), how).select(*rows.columns, *extra)
 
 
+def keep_one(docs: DataFrame, keys: dict, decided: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose ``keys`` (name -> expression) are not in ``decided`` (keys, _stays), and one row, the
+    same in every run, of those it lists with ``_stays``: rows that repeat all keys."""
+    decided, marked = materialise(prefixed(decided, list(keys))), docs.withColumns(keys)
+    out = marked.join(decided, same(marked, decided, list(keys)), "left_anti").select(*docs.columns)
+    again = decided.filter("_stays")
+    if again.isEmpty():
+        return out
+    row = F.struct(*[docs[c] for c in docs.columns])
+    rows = marked.join(again, same(marked, again, list(keys)), "left_semi").groupBy(*keys).agg(
+        F.min_by(row, F.sha2(F.to_json(row), 256)).alias("_row"))
+    return out.unionByName(rows.select("_row.*"))
+
+
 def with_block_rank(rows: DataFrame, group: Sequence[str], block: Column, order: Sequence, out: str,
                     weight: Column | None = None, total: str | None = None) -> DataFrame:
     """0-based gapless position inside ``group``, ordered by (block, order).

@@ -12,9 +12,9 @@
    only as a result column.
 
 Defined results: a null text counts as empty; empty texts are one group; of equal texts
-the row with the smallest doc_id stays (null ids come last), rows that repeat that id
-with that text are the same record and all stay; an empty table gives an empty table;
-other columns pass through ``exact_dedup`` untouched.
+the row with the smallest doc_id is kept (null ids come last), rows that repeat that id
+with that text are the same record: ``exact_groups`` marks them all, ``exact_dedup`` leaves
+one; an empty table gives an empty table; other columns pass through ``exact_dedup`` untouched.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, prefixed, same, with_group_values
+from .common import keep_one, materialise, prefixed, same, with_group_values
 
 MIN_CHARS, MAX_CHARS = 256, 4096
 
@@ -84,11 +84,10 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
     The keep decision comes back on (id, SHA-256 of the normalised text), so a table
     that uses one id for several texts is handled row by row."""
-    drop = exact_groups(docs, id_col, text_col).filter(~F.col("kept")).select(
-        F.col(id_col).alias("_d_id"), F.col("text_sha256").alias("_d_sha")).distinct()
-    marked = docs.withColumn("_d_text_sha", F.sha2(normalised(F.col(text_col)), 256))
-    cond = marked[id_col].eqNullSafe(drop["_d_id"]) & (marked["_d_text_sha"] == drop["_d_sha"])
-    return marked.join(drop, cond, "left_anti").select(*docs.columns)
+    groups = exact_groups(docs, id_col, text_col).filter("group_size > 1").groupBy(
+        F.col(id_col).alias("_d_id"), F.col("text_sha256").alias("_d_sha")).agg(F.max("kept").alias("_stays"), F.count(F.lit(1)).alias("_n"))
+    keys = {"_d_id": F.col(id_col), "_d_sha": F.sha2(normalised(F.col(text_col)), 256)}
+    return keep_one(docs, keys, groups.filter("NOT _stays OR _n > 1").drop("_n"))
 
 
 ORACLE = """

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import attach, materialise, with_group_values
+from .common import attach, keep_one, materialise, with_group_values
 from .components import components
 
 SHINGLE, RADIUS, SEED, SHARD = 3, 2, 42, 4096
@@ -237,10 +237,16 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 def simhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
                   radius: int = RADIUS) -> DataFrame:
-    """The rows of ``docs`` that stay: of each component the row with the smallest id."""
-    drop = simhash_groups(docs, id_col, text_col, shingle, radius).filter(F.col(id_col) != F.col("component_id"))
-    drop = drop.select(F.col(id_col).alias("_d_id")).distinct()
-    return docs.join(drop, docs[id_col] == drop["_d_id"], "left_anti").select(*docs.columns)
+    """The rows of ``docs`` that stay: of each component one row with the smallest id (null ids come last).
+
+    The groups are built on (id, SHA-256 of the text), which no two components share even
+    where they share ids; of rows that repeat both one stays."""
+    keys = {"_d_id": F.col(id_col), "_d_sha": F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256)}
+    named = docs.select(F.struct(F.col(id_col).isNull().alias("none"), *[c.alias(k) for k, c in keys.items()]).alias("_d_key"),
+                        F.col(text_col).alias("_d_text"))
+    groups = simhash_groups(named, "_d_key", "_d_text", shingle, radius).groupBy("_d_key").agg(
+        F.max(F.col("_d_key") == F.col("component_id")).alias("_stays"), F.count(F.lit(1)).alias("_n"))
+    return keep_one(docs, keys, groups.filter("NOT _stays OR _n > 1").select("_d_key._d_id", "_d_key._d_sha", "_stays"))
 
 
 def simhash_digest(docs: DataFrame) -> DataFrame:

@@ -4,6 +4,7 @@ import re
 import numpy as np
 import xxhash
 
+from tabwright.llm import exact_dedup
 from tabwright.llm import simhash_dedup as S
 from tabwright.llm.common import read
 
@@ -58,6 +59,17 @@ def test_null_and_repeated_ids(spark):
     assert sum(r.component_id is None for r in rows) == 1
 
 
+def test_dedup_keeps_one_row_of_each_component(spark):
+    x, y, z = "red fish swims far", "blue bird sings at dawn", "old trees fall in storms"
+    rows = [(5, x, "x5"), (9, x, "x9"), (2, y, "y2"), (5, y, "y5"), (7, z, "z7"), (7, z, "z7"), (8, z, "z8"), (5, "one more text here", "o5"),
+            (None, "nobody knows this one", "n"), (None, "nobody knows this one", "n"), (None, x, "nx"), (1, None, "e1"), (1, "", "e1"), (4, " ", "e4")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, tag string")
+    want = ["e1", "n", "o5", "x5", "y2", "z7"]
+    assert sorted(r.tag for r in S.simhash_dedup(df).collect()) == want
+    assert sorted(r.tag for r in exact_dedup.exact_dedup(df).collect()) == sorted([*want, "e4"])
+    assert S.simhash_dedup(df.limit(0)).columns == df.columns and S.simhash_dedup(df.limit(0)).count() == 0
+
+
 def test_long_text_in_pieces(monkeypatch):
     text = " ".join(random.Random(1).choices(["aa", "b", "Cc", "ddd"], k=5000))
     monkeypatch.setattr(S, "_PIECE", 37)
