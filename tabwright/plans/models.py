@@ -327,19 +327,25 @@ def gate_lines(scored, types, cut=0.5):
 
 
 def q_activity_gate(spark, sf_dir):
-    """Boosted-tree activity gate on W9 windows (train windows 1–2, score window 3).  A user is
-    active when the last week of the window has more events than the median training week; in the
-    driver's events the following week does not depend on the past."""
+    """Boosted-tree activity gate on W9 windows (train windows 1–2, score window 3).  Every user has
+    some event in every whole week, so a user counts as active when the week after the window has more
+    events a day than the median of those weeks in training; days without any event are not in the data."""
     panel = _materialised(P.event_panel(Tables(spark, sf_dir).events))
-    w = P.window_features(panel, [1, 2, 3])
+    w = P.window_features(panel, [1, 2, 3]).drop("label")
     week = panel.groupBy(F.col("user_id").alias("_u"), F.col("week").alias("_w")).agg(F.sum("cnt").alias("_n"))
-    w = w.join(week, (F.col("user_id") == F.col("_u")) & (F.col("start_week") + 1 == F.col("_w")), "left").fillna(0, ["_n"])
+    for name, ahead in (("_last", 1), ("_next", 2)):
+        n = week.withColumnRenamed("_n", name)
+        w = w.join(n, (F.col("user_id") == F.col("_u")) & (F.col("start_week") + ahead == F.col("_w")), "left").drop("_u", "_w")
+    w = w.fillna(0, ["_last", "_next"])
     # the counts of the window, their total and the last week's total
     total = F.aggregate("features", F.lit(0).cast("long"), lambda a, x: a + x)
-    vector = F.transform(F.concat("features", F.array(total, F.col("_n"))), lambda x: x.cast("double"))
-    w = _materialised(w.select("user_id", "start_week", array_to_vector(vector).alias("features"), "_n"))
-    middle = w.where("start_week < 3").agg(F.percentile("_n", 0.5)).first()[0] or 0.0
-    w = w.withColumn("label", (F.col("_n") > middle).cast("double"))
+    vector = F.transform(F.concat("features", F.array(total, F.col("_last"))), lambda x: x.cast("double"))
+    # the table may end within a week: three rows at most
+    days = dict(panel.where("week BETWEEN 3 AND 5").groupBy("week").agg(F.countDistinct("day")).collect())
+    rate = F.col("_next") / F.element_at(F.array(*[F.lit(days.get(s + 2, 7)) for s in (1, 2, 3)]), F.col("start_week").cast("int"))
+    w = _materialised(w.select("user_id", "start_week", array_to_vector(vector).alias("features"), rate.alias("_rate")))
+    middle = w.where("start_week < 3").agg(F.percentile("_rate", 0.5)).first()[0] or 0.0
+    w = w.withColumn("label", (F.col("_rate") > middle).cast("double"))
     m = GBTClassifier(maxIter=20, maxDepth=3, seed=7).fit(w.where("start_week < 3"))
     scored = m.transform(w.where("start_week = 3")).select("user_id", "label", vector_to_array(F.col("probability"))[1].alias("p"))
     scored = _materialised(scored)
