@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from . import chat, embed_dedup, exact_dedup, mixing, packing, quality_gam, sharding, simhash_dedup, suffix_dedup, url_filter
+from . import (bpe_tree, chat, embed_dedup, exact_dedup, merkle, mixing, packing, quality_gam, sharding, simhash_dedup, suffix_dedup,
+               token_align, url_filter)
 from .common import read
 
 
@@ -46,7 +47,19 @@ def op7_embedding_dedup(spark, sf_dir):
     return embed_dedup.embedding_groups(read(spark, sf_dir, "embeddings"))
 
 
+def op11_bpe_tree(spark, sf_dir):
+    return bpe_tree.codec_digest(read(spark, sf_dir, "documents"))
+
+
+def op12_token_align(spark, sf_dir):
+    return token_align.align_digest(read(spark, sf_dir, "documents"))
+
+
+def op13_merkle_manifest(spark, sf_dir):
+    return merkle.manifest_digest(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (op2_exact_dedup, op4_sharding, op5_chat_formatting, op6_url_filters, op8_mixing,
                                   op10_simhash, op3_quality_classifier, op9_packing,
-                                  op1_suffix_dedup, op7_embedding_dedup)}
-ORACLE = {"op2_exact_dedup": exact_dedup.ORACLE, "op5_chat_formatting": chat.ORACLE}
+                                  op1_suffix_dedup, op7_embedding_dedup, op11_bpe_tree, op12_token_align, op13_merkle_manifest)}
+ORACLE = {"op2_exact_dedup": exact_dedup.ORACLE, "op5_chat_formatting": chat.ORACLE, "op13_merkle_manifest": merkle.ORACLE}
