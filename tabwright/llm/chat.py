@@ -5,10 +5,11 @@ assistant, everyone else a named user, system turns stay system turns.  The rend
 kept as pieces, one row per (conversation, perspective, message), with the piece's place
 in the whole rendering and the span that is trained on (the assistant's text and end mark).
 Pieces concatenated by position are the rendering; no dialogue is ever held in one task:
-a long one is numbered in blocks of turn numbers.
+messages are numbered over a range-partitioned sort, and a long dialogue is rendered in
+blocks of that number, whatever its turns are.
 
-Defined results: messages are ordered by turn (null first), role, text; a message row
-repeated exactly counts once; a null role speaks as ``unknown``; a null text is empty; the
+Defined results: messages are ordered by turn (null first), role, text, and every row is a
+message, also one that repeats another; a null role speaks as ``unknown``; a null text is empty; the
 null conversation id is a conversation of its own; a dialogue with system turns only has
 no perspective; an opening mark inside a text is broken up so that it cannot forge a turn;
 an empty table gives an empty table.
@@ -19,11 +20,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import prefixed, same, with_block_rank
+from tabwright.operators.rank import row_number_by
+
+from .common import materialise, prefixed, same, with_block_rank
 
 SYSTEM = "system"
 OPEN, SAFE_OPEN, END = "<|", "< |", "<|end|>\n"
-TURNS_A_BLOCK = 4096
+MESSAGES_A_BLOCK = 4096
 
 
 def _head(shown: Column, name: Column) -> Column:
@@ -37,8 +40,12 @@ def perspectives(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "t
     clean = F.replace(F.coalesce(F.col(text_col), F.lit("")), F.lit(OPEN), F.lit(SAFE_OPEN))
     name = F.replace(F.coalesce(F.col(role_col), F.lit("unknown")), F.lit(OPEN), F.lit(SAFE_OPEN))
     rows = turns.select(F.col(conv_col).alias("_conv"), F.col(turn_col).alias("turn"), name.alias("speaker"),
-                        clean.alias("_text")).distinct()
-    rows = rows.withColumn("_part", F.floor(F.coalesce(F.col("turn"), F.lit(-1)) / TURNS_A_BLOCK).cast("long"))
+                        clean.alias("_text"))
+    # equal messages are alike, so any order among them gives the same rows; the last key lets a range cut fall between them
+    order = [F.col("turn").asc_nulls_first(), "speaker", "_text", "_tie"]
+    rows = row_number_by(rows.withColumn("_tie", F.monotonically_increasing_id()), order, group=["_conv"], out="position").drop("_tie")
+    rows = rows.withColumn("position", F.col("position") - 1).withColumn("_part", F.floor(F.col("position") / MESSAGES_A_BLOCK))
+    rows = materialise(rows)  # read for participants, blocks and messages
     # participants reach the messages through (conversation, block): a hot dialogue is spread over its blocks
     people = prefixed(rows.filter(F.col("speaker") != SYSTEM).select("_conv", F.col("speaker").alias("perspective")).distinct(),
                       ["_conv"])
@@ -49,14 +56,10 @@ def perspectives(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "t
         .otherwise(F.lit("user"))
     seen = rows.join(seats, same(rows, seats, ["_conv", "_part"])).withColumn("shown_as", shown)
     seen = seen.withColumn("_headed", _head(F.col("shown_as"), F.col("speaker")))
-    seen = seen.select("_conv", "perspective", "turn", "speaker", "_text", "shown_as", "_part", F.length("_headed").cast("long").alias("_lead"),
+    seen = seen.select("_conv", "perspective", "position", "turn", "speaker", "shown_as", "_part", F.length("_headed").cast("long").alias("_lead"),
                        F.concat("_headed", "_text", F.lit(END)).alias("piece"))
     seen = seen.withColumn("_chars", F.length("piece").cast("long"))
-    order = [F.col("turn").asc_nulls_first(), "speaker", "_text"]
-    block = F.col("_part")
-    placed = with_block_rank(seen, ["_conv", "perspective"], block, order, "start", weight=F.col("_chars"))
-    # the position is read off the same way; both sums share one exchange on (dialogue, perspective, block)
-    placed = with_block_rank(placed, ["_conv", "perspective"], block, order, "position")
+    placed = with_block_rank(seen, ["_conv", "perspective"], F.col("_part"), ["position"], "start", weight=F.col("_chars"))
     mine = F.col("shown_as") == "assistant"
     return placed.select(
         F.col("_conv").alias(conv_col), "perspective", "position", F.col("turn").alias(turn_col), "speaker", "shown_as", "piece", "start",
@@ -65,7 +68,7 @@ def perspectives(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "t
 
 
 ORACLE = """
-WITH m AS (SELECT DISTINCT conv_id, turn, replace(coalesce(role, 'unknown'), '<|', '< |') AS speaker,
+WITH m AS (SELECT conv_id, turn, replace(coalesce(role, 'unknown'), '<|', '< |') AS speaker,
                   replace(coalesce(text, ''), '<|', '< |') AS body FROM conversations),
 p AS (SELECT DISTINCT conv_id, speaker AS perspective FROM m WHERE speaker <> 'system'),
 s AS (SELECT m.*, p.perspective, CASE WHEN speaker = 'system' THEN 'system' WHEN speaker = perspective THEN 'assistant' ELSE 'user' END AS shown_as
