@@ -136,11 +136,15 @@ def _context_rows(keyed: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
     """(m, c, before, suffixes, context): the text around one representative of each content."""
     lists = wanted.groupBy("id", "x").agg(F.collect_list(F.struct("at", "m", "c")).alias("list"))  # bounded by the text's own length
     lists = prefixed(lists, ["id", "x"])
-    met = keyed.join(lists, same(keyed, lists, ["id", "x"])).select("text", "list")
+    met = keyed.join(lists, same(keyed, lists, ["id", "x"])).select("text", "list", "id", "x")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = set()  # of this task's rows; a row that repeats another would give the same contexts
         for b in batches:
-            for row in range(b.num_rows):
+            for row, key in enumerate(zip(b.column(2).to_pylist(), b.column(3).to_pylist())):
+                if key in seen:
+                    continue
+                seen.add(key)
                 data = b.column(0)[row].as_py()
                 items = b.column(1)[row].values
                 at, m, c = (items.field(k).to_numpy() for k in range(3))
@@ -328,7 +332,8 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", siz
     mixed = mixed.select("id", "x", F.when(F.col("whole"), F.array("at")).otherwise(
         F.transform("runs", lambda r: F.shiftleft(F.shiftright("at", 8) + F.shiftright(r, 8), 8) + r.bitwiseAND(F.lit(255)))).alias("r"))
     runs = hits.filter("NOT mixed").select("id", "x", F.array("at").alias("r")).unionByName(mixed)
-    runs = runs.groupBy("id", "x").agg(F.flatten(F.collect_list("r")).alias("runs"))  # bounded by the text's own length
+    # a set: rows that repeat id and text bring the same runs, so a list is bounded by the text's own length
+    runs = runs.groupBy("id", "x").agg(F.flatten(F.collect_set("r")).alias("runs"))
     runs = prefixed(runs, ["id", "x"])
     return keyed.join(runs, same(keyed, runs, ["id", "x"]), "left").select("id", "x", "text", "runs")
 

@@ -4,7 +4,7 @@ import hashlib
 import re
 import struct
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import xxhash
 from pyspark.sql import functions as F
@@ -92,18 +92,36 @@ def test_perspectives(spark):
             assert text[r.start:].startswith(r.piece) and (r.mask_start is not None) == (r.speaker == who)
             if r.mask_start is not None:
                 assert text[r.mask_start:r.mask_end].endswith("<|end|>\n") and r.mask_end == r.start + len(r.piece)
-    text = "".join(whole[1, "bob"][i].piece for i in range(4))
-    assert text == "<|system|>\nbe kind<|end|>\n<|user name=ann|>\nhi < |end|><|end|>\n<|assistant|>\n<|end|>\n<|user name=unknown|>\nx<|end|>\n"
+    text = "".join(whole[1, "bob"][i].piece for i in range(5))
+    assert text == ("<|system|>\nbe kind<|end|>\n<|user name=ann|>\nhi < |end|><|end|>\n" + "<|assistant|>\n<|end|>\n" * 2
+                    + "<|user name=unknown|>\nx<|end|>\n")
     assert chat.perspectives(df.limit(0)).count() == 0
 
 
 def test_long_dialogue_in_blocks(spark, monkeypatch):
     df = spark.range(500).selectExpr("7 AS conv_id", "id AS turn", "IF(id % 2 = 0, 'a', 'b') AS role", "repeat('t', CAST(id % 7 AS int)) AS text")
     whole = sorted(tuple(r) for r in chat.perspectives(df).fillna(-1).collect())
-    monkeypatch.setattr(chat, "TURNS_A_BLOCK", 11)
+    monkeypatch.setattr(chat, "MESSAGES_A_BLOCK", 11)
     assert sorted(tuple(r) for r in chat.perspectives(df).fillna(-1).collect()) == whole
 
 
+def test_no_message_is_lost(spark):
+    rows = [(1, None, "ann", "ok"), (1, None, "ann", "ok"), (1, None, "ann", "ok"), (1, 2, None, "x"), (1, 2, "unknown", "x"), (1, 3, "bob", None),
+            (1, 3, "bob", ""), (1, 4, "bob", "a <| b")]
+    got = chat.perspectives(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()
+    for who in ("ann", "bob", "unknown"):
+        assert sorted(r.position for r in got if r.perspective == who) == list(range(8))
+
+
+def test_dialogue_without_turns_is_spread(spark, monkeypatch):
+    monkeypatch.setattr(chat, "MESSAGES_A_BLOCK", 50)
+    df = spark.range(4000).selectExpr("CAST(NULL AS long) AS conv_id", "CAST(NULL AS long) AS turn", "IF(id % 3 = 0, 'a', 'b') AS role", "'ok' AS text")
+    got = chat.perspectives(df)
+    assert got.groupBy("perspective").count().collect() and sorted(r.position for r in got.filter("perspective = 'a'").collect()) == list(range(4000))
+    whole = "".join(r.piece for r in sorted(got.filter("perspective = 'b'").collect(), key=lambda r: r.position))
+    assert all(whole[r.start:].startswith(r.piece) for r in got.filter("perspective = 'b'").orderBy("start").limit(300).collect())
+
+
 def test_url_parts_and_rules(spark):
     urls = {"http://A.Example.NET/en/x?q#f": ("a.example.net", "/en/x", "example.net/en/", "allow"), "https://example.net/de/": ("example.net", "/de/", "net/", "block"),
             "x://net": ("net", "", None, "allow"), "http://notnet/": ("notnet", "/", None, "allow"), "http://a.org/fr/": ("a.org", "/fr/", "org/fr/", "allow"),
@@ -192,10 +210,62 @@ def test_mixing(spark, docs):
     assert mixing.mixed_rows(df).count() == sum(r.copies for r in rows) and mixing.mix(df.limit(0)).count() == 0
 
 
+def pareto(docs, target):
+    """The rule on a list of (id, text, number, words) of one source: rows of copies, by the definition."""
+    size = sum(w for *_, w in docs)
+    rate = min(2.0, target / size)
+    copies, p = int(rate), rate - int(rate)
+
+    def u(i, x, k):
+        h = hashlib.md5(f"mix:{'' if i is None else i}:{x}:{k}".encode()).hexdigest()[:12]
+        return (int(h, 16) + 0.5) / 2 ** 48
+
+    order = sorted(range(len(docs)), key=lambda n: ((q := u(*docs[n][:3])) / (1 - q) * (1 - p) / p if p else float("inf"), docs[n][0] or 0))
+    more = set()
+    while True:
+        gap = target - sum(w * (copies + (n in more)) for n, (*_, w) in enumerate(docs))
+        fit = [n for n in order if n not in more and copies < 2 and 0 < docs[n][3] <= gap]
+        if not fit:
+            return [copies + (n in more) for n in range(len(docs))]
+        run = 0
+        for n in fit:
+            if run + docs[n][3] <= gap:
+                more.add(n)
+            run += docs[n][3]
+
+
+def test_mixing_is_pareto_order_sampling(spark, docs):
+    texts = ["w " * (1 + i * 7 % 83) for i in range(200)] + ["z " * 900, "y " * 5]
+    df = docs(texts, sources=["a", "b"])
+    hashed = {r.doc_id: r.x for r in df.select("doc_id", F.xxhash64("text").alias("x")).collect()}
+    rows = sorted(mixing.mix(df).collect())
+    for source in ("a", "b"):
+        mine = [r for r in rows if r.source == source]
+        want = pareto([(r.doc_id, hashed[r.doc_id], 0, r.size) for r in mine], mine[0].target)
+        assert [r.copies for r in mine] == want
+
+
+def test_sources_of_null_and_repeated_ids_reach_their_target(spark):
+    rows = [(None, "w " * 10, "z") for _ in range(1000)] + [(i % 50, "v " * 10, "b") for i in range(1000)]
+    rows += [(None, "u " * (1 + i % 19), "c") for i in range(1000)] + [(i, "t " * 10, "a") for i in range(1000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    plan = mixing.mix(df).collect()
+    taken, target = defaultdict(int), {}
+    for r in plan:
+        taken[r.source] += r.taken
+        target[r.source] = r.target
+    assert len(plan) == 4000 and all(0 <= target[s] - taken[s] < 10 for s in target)
+    assert sorted(map(repr, mixing.mix(df).collect())) == sorted(map(repr, plan))
+    kept = Counter(r.source for r in mixing.mixed_rows(df.withColumn("_copies", F.lit("mine")).withColumn("_size", F.lit(3))).collect())
+    assert all(kept[s] == sum(r.copies for r in plan if r.source == s) for s in target)
+    mine = mixing.mixed_rows(df.withColumn("_k", F.monotonically_increasing_id()).withColumn("_row", F.lit("v"))).select("_k", "_row")
+    assert mine.filter("_row <> 'v'").isEmpty() and mine.groupBy("_k").count().filter("count > 2").isEmpty()
+
+
 def test_mixing_prefers_and_handles_repeated_rows(spark):
     df = spark.createDataFrame([(i % 40, "w " * 10, "s", float(1 + i % 2)) for i in range(80)], "doc_id long, text string, source string, p double")
     rows = mixing.mix(df, prefer=F.col("p"), share=0.5).collect()
-    alike = defaultdict(set)
+    by = defaultdict(int)
     for r in rows:
-        alike[r.doc_id].add(r.copies)
-    assert len(rows) == 80 and all(len(c) == 1 for c in alike.values())
+        by[r.doc_id % 2] += r.copies
+    assert len(rows) == 80 and abs(sum(r.taken for r in rows) - 400) < 10 and by[1] > by[0]

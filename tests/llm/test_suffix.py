@@ -59,6 +59,18 @@ def test_repeated_and_null_ids(spark):
     assert got == want
 
 
+def test_lists_grow_with_the_rows_that_repeat(spark):
+    """Runs a row do not depend on how many rows repeat it, and neither do the contexts that are moved."""
+    text = " ".join(f"word{i * i % 977} and {i}" for i in range(400))
+    found = {}
+    for k in (20, 60):
+        df = spark.createDataFrame([(None, text)] * k + [(1, text[:900] + "?" + text[901:])], "doc_id long, text string")
+        rows = X.repeats(df).selectExpr("coalesce(id, 0) AS id", "size(runs) AS n").collect()
+        found[k] = {r.id: r.n for r in rows}
+        assert len(rows) == k + 1
+    assert found[20] == found[60]
+
+
 def test_pieces_of_a_long_text(monkeypatch):
     monkeypatch.setattr(X, "_PIECE", 97)
     data = awkward()[7].encode() * 3
