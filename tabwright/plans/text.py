@@ -212,10 +212,11 @@ FROM pairs p LEFT JOIN hit USING (doc_id, item_id) LEFT JOIN sz USING (item_id)
 docs AS (SELECT 'q' || item_id AS key, {_nostop(_words('text'))} AS tokens FROM benchmark
          UNION ALL SELECT 'd' || doc_id, {_nostop(_words('text'))} FROM documents),
 {_tfidf_sql('docs', 'key', "(SELECT count(*) FROM benchmark) + (SELECT count(*) FROM documents)")},
-wq AS (SELECT CAST(substr(key, 2) AS BIGINT) AS item_id, term, w FROM w WHERE key LIKE 'q%'),
-wt AS (SELECT CAST(substr(key, 2) AS BIGINT) AS doc_id, term, w FROM w WHERE key LIKE 'd%'),
-dot AS (SELECT p.doc_id, p.item_id, sum(wt.w * wq.w) AS dot FROM pairs p JOIN wt USING (doc_id)
-        JOIN wq ON wq.item_id = p.item_id AND wq.term = wt.term GROUP BY ALL),
+wq AS MATERIALIZED (SELECT CAST(substr(key, 2) AS BIGINT) AS item_id, term, w FROM w WHERE key LIKE 'q%'),
+wt AS MATERIALIZED (SELECT CAST(substr(key, 2) AS BIGINT) AS doc_id, term, w FROM w WHERE key LIKE 'd%'),
+-- a document meets its own query's terms only: no join on the term alone, in whatever order the joins run
+own AS MATERIALIZED (SELECT p.doc_id, p.item_id, wt.term, wt.w FROM pairs p JOIN wt ON wt.doc_id = p.doc_id),
+dot AS (SELECT own.doc_id, own.item_id, sum(own.w * wq.w) AS dot FROM own JOIN wq ON wq.item_id = own.item_id AND wq.term = own.term GROUP BY ALL),
 sq AS (SELECT item_id, sum(w * w) AS qq FROM wq GROUP BY 1),
 st AS (SELECT doc_id, sum(w * w) AS tt FROM wt GROUP BY 1),
 o AS (SELECT p.doc_id, p.item_id, coalesce(dot, 0.0) AS dot, coalesce(qq, 0.0) AS qq, coalesce(tt, 0.0) AS tt

@@ -8,8 +8,10 @@ from tabwright.operators import match as M
 from tabwright.operators import metrics as MX
 from tabwright.operators import selection as S
 from tabwright.operators.folds import shuffled_folds
+from tabwright.operators import panel as P
 from tabwright.plans import models
 from tabwright.sources import files as IO
+from tabwright.sources.tables import Tables
 
 
 def brute_gini(rows):
@@ -89,20 +91,16 @@ def test_fewer_rows_than_folds(spark):
     assert {r["fold"] for r in shuffled_folds(spark.range(3).withColumnRenamed("id", "k"), "k", 5).collect()} == {-1}
 
 
-def test_activity_gate_predicts_the_week_after_the_window(spark, tmp_path, monkeypatch):
-    """Users are busy in every other week, so a busy last week of the window means a quiet next one."""
+def test_activity_gate_predicts_the_week_after_the_window(spark, tmp_path):
+    """Users are busy in every other week, so a busy last week of the window means a quiet next one: the gate is always
+    right, a constant for half of the users."""
     rows = [(u, f"2024-01-{(w - 1) * 7 + d + 1:02d} 10:00:00", t) for u in range(40) for w in range(1, 6) for d in range(7 if w < 5 else 2)
             for t in ("click", "view") for _ in range(3 if w % 2 == u % 2 else 1)]
     df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "event_id long, user_id long, ts string, event_type string")
     df.selectExpr("event_id", "CAST(ts AS timestamp) AS ts", "user_id", "event_type", "CAST(1 AS double) AS value", "'{}' AS props").write.parquet(
         str(tmp_path / "events.parquet"))
-    passed, real = [], models.gate_lines
-
-    def seen(scored, *rest):
-        passed.extend(r.user_id for r in scored.where("p >= 0.5").collect())
-        return real(scored, *rest)
-
-    monkeypatch.setattr(models, "gate_lines", seen)
+    scored = models.gate_scores(P.event_panel(Tables(spark, str(tmp_path)).events)).collect()
+    assert sorted(r.user_id for r in scored if r.p >= 0.5) == list(range(1, 40, 2))
+    assert all(r.label == (r.p >= 0.5) for r in scored)
     out = models.q_activity_gate(spark, str(tmp_path)).collect()
-    assert sorted(passed) == list(range(1, 40, 2))
-    assert len(out) == 40 and all((r.predicted, r.beats_constant, r.lines_match) == (1, 1, 1) for r in out)
+    assert len(out) == 40 and all((r.active, r.line_fits) == (r.user_id % 2, 1) for r in out) and sum(r.constant_hits for r in out) == 20
