@@ -14,6 +14,7 @@ from tabwright.sources.tables import Tables
 
 K_VOTE = 5
 K_MEANS = [1, 2, 4, 8]
+K_WEIGHTED = [4, 64, 1024]
 
 
 def _split(spark, sf_dir):
@@ -35,6 +36,14 @@ def q_knn_mean_feature(spark, sf_dir):
     return m.select(F.col("qid").alias("vec_id"), "k", F.round("mean_label", 6).alias("mean_label"))
 
 
+def q_knn_weighted(spark, sf_dir):
+    """L4: inverse-distance means and votes for small and for large k from one list of neighbours."""
+    q, b = _split(spark, sf_dir)
+    nn = K.knn(q, b, max(K_WEIGHTED), "vec_id", "vec_id", "embedding", "label")
+    return K.knn_weighted(nn, K_WEIGHTED).select(F.col("qid").alias("vec_id"), "k", F.round("mean_label", 6).alias("mean_label"),
+                                                 F.col("vote").cast("int").alias("vote"))
+
+
 def q_nb_by_group(spark, sf_dir):
     t = Tables(spark, sf_dir)
     w = _doc_weights(spark, sf_dir).checkpoint(eager=True)  # read by fitting and by scoring
@@ -48,6 +57,7 @@ def q_nb_by_group(spark, sf_dir):
 QUERIES = {
     "knn_vote": q_knn_vote,
     "knn_mean_feature": q_knn_mean_feature,
+    "knn_weighted": q_knn_weighted,
     "nb_by_group": q_nb_by_group,
 }
 
@@ -91,5 +101,12 @@ SELECT qid AS vec_id, CAST(blabel AS INTEGER) AS vote FROM (
     "knn_mean_feature": f"""WITH {KNN},
 ks AS (SELECT unnest([{', '.join(map(str, K_MEANS))}]) AS k)
 SELECT qid AS vec_id, k, round(avg(blabel), 6) AS mean_label FROM r JOIN ks ON r.rank <= ks.k GROUP BY qid, k""",
+    "knn_weighted": f"""WITH {KNN},
+ks AS (SELECT unnest([{', '.join(map(str, K_WEIGHTED))}]) AS k),
+near AS (SELECT qid, k, blabel, CASE WHEN least > 0 THEN 1.0 / dist ELSE CAST(dist = 0 AS DOUBLE) END AS weight
+         FROM (SELECT *, min(dist) OVER (PARTITION BY qid) AS least FROM r) JOIN ks ON rank <= k),
+by_label AS (SELECT qid, k, blabel, sum(weight) AS weight FROM near GROUP BY ALL)
+SELECT qid AS vec_id, k, round(sum(weight * blabel) / sum(weight), 6) AS mean_label,
+       CAST(arg_max(blabel, (round(weight, 9), -blabel)) AS INTEGER) AS vote FROM by_label GROUP BY qid, k""",
     "nb_by_group": _nb_sql(),
 }

@@ -4,6 +4,7 @@ document is used); markup → ``pages.html``."""
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from tabwright.functions import text as TX
@@ -233,6 +234,7 @@ FROM tot ORDER BY n DESC, term LIMIT {TOP_K}""",
 # ---- stemming and SVD: SQL states the invariants of the result (no DuckDB counterpart of the methods) ----
 
 LSA_K, SVD_K, SVD_ROUNDS = 8, 3, 8
+LSA_WIDE, LSA_BOUND = 100, 0.01
 
 
 def q_stem_terms(spark, sf_dir):
@@ -270,7 +272,8 @@ def q_lsa_project(spark, sf_dir, k=LSA_K):
     off = a.join(b, "term").groupBy("i", "j").agg(F.sum(F.col("x") * F.col("z")).alias("p")).agg(
         F.max(F.abs(F.col("p") - (F.col("i") == F.col("j")).cast("double")))).first()[0]
     every = Tables(spark, sf_dir).documents.select("doc_id").withColumn("comp", F.explode(F.sequence(F.lit(0), F.lit(k - 1))))
-    scores = every.join(lsa_project(w, "doc_id", vdf), ["doc_id", "comp"], "left").fillna(0.0, ["score"])
+    # a document without terms that the basis knows has no score; SQL says which those are
+    scores = every.join(lsa_project(w, "doc_id", vdf), ["doc_id", "comp"], "left")
     falls = all(x >= y for x, y in zip(values, values[1:]))
     return scores.select("doc_id", F.col("comp").cast("int").alias("comp"), F.col("score").isNotNull().cast("int").alias("scored"),
                          F.lit(int(off is not None and off < 1e-6)).alias("orthonormal"), F.lit(int(falls)).alias("ordered"))
@@ -292,12 +295,39 @@ def q_group_svd(spark, sf_dir, k=SVD_K):
                          F.lit(int(bad == 0)).alias("shrinks"))
 
 
-QUERIES.update({"stem_terms": q_stem_terms, "stem_bag": q_stem_bag, "lsa_project": q_lsa_project, "group_svd": q_group_svd})
+def q_lsa_wide(spark, sf_dir, k=LSA_WIDE, bound=LSA_BOUND):
+    """T13 at useful width: the basis of the labelled documents, applied to all.  ``scored``: the document has a score;
+    ``within``: its scores hold no more than its own length (1); ``orthonormal``: the basis to 1e-6, by a Gram matrix of the
+    returned vectors; ``ordered``: the singular values fall; ``converged``: every residual, taken anew from the returned
+    vectors as |X'X v - lambda v|, is at most the bound times the largest lambda."""
+    from tabwright.operators import lsa as L
+    w = _doc_weights(spark, sf_dir)
+    train = w.join(Tables(spark, sf_dir).labels.select("doc_id"), "doc_id", "left_semi").checkpoint(eager=True)
+    v, values, _ = L.lsa_fit_wide(train, "doc_id", k, bound=bound)
+    v = v.checkpoint(eager=True)
+    y = L._vector_sums(train.join(L.lsa_project_wide(train, "doc_id", v), "doc_id"), "term", "score", "y")
+    vv, yy, vy = L._grams(v.join(y, "term"), [("v", "v"), ("y", "y"), ("v", "y")])
+    lam = values ** 2
+    left = yy.diagonal() - 2 * lam * vy.diagonal() + lam ** 2 * vv.diagonal()
+    tight = bool(len(lam)) and float(left.max()) ** 0.5 <= bound * lam[0] * 1.001
+    flags = {"orthonormal": abs(vv - np.eye(len(vv))).max() < 1e-6 if len(vv) else False, "ordered": all(a >= b for a, b in zip(values, values[1:])), "converged": tight}
+    out = Tables(spark, sf_dir).documents.select("doc_id").join(L.lsa_project_wide(w, "doc_id", v), "doc_id", "left")
+    power = F.aggregate("score", F.lit(0.0), lambda a, x: a + x * x)
+    return out.select("doc_id", F.col("score").isNotNull().cast("int").alias("scored"), F.coalesce(power <= 1 + 1e-9, F.lit(True)).cast("int").alias("within"),
+                      *[F.lit(int(f)).alias(n) for n, f in flags.items()])
+
+
+_KNOWN = f"""{DOCTOK}, {_tfidf_sql('doctok', 'doc_id')},
+known AS (SELECT DISTINCT doc_id FROM w WHERE term IN (SELECT term FROM w WHERE doc_id IN (SELECT doc_id FROM labels)))"""
+
+QUERIES.update({"lsa_wide": q_lsa_wide, "stem_terms": q_stem_terms, "stem_bag": q_stem_bag, "lsa_project": q_lsa_project, "group_svd": q_group_svd})
 ORACLE.update({
     "stem_terms": f"WITH {DOCTOK} SELECT DISTINCT unnest(tokens) AS term, 1 AS fits FROM doctok",
     "stem_bag": f"""WITH {DOCTOK} SELECT doc_id, CAST(len(tokens) AS BIGINT) AS n_tokens, 1 AS merged FROM doctok WHERE len(tokens) > 0""",
-    "lsa_project": f"""SELECT doc_id, comp, 1 AS scored, 1 AS orthonormal, 1 AS ordered
+    "lsa_project": f"""WITH {_KNOWN} SELECT doc_id, comp, CAST(doc_id IN (SELECT doc_id FROM known) AS INTEGER) AS scored, 1 AS orthonormal, 1 AS ordered
 FROM documents, (SELECT CAST(unnest(range(0, {LSA_K})) AS INTEGER) AS comp)""",
+    "lsa_wide": f"""WITH {_KNOWN} SELECT doc_id, CAST(doc_id IN (SELECT doc_id FROM known) AS INTEGER) AS scored, 1 AS within, 1 AS orthonormal, 1 AS ordered, 1 AS converged
+FROM documents""",
     "group_svd": f"""WITH {PAIRS} SELECT doc_id, item_id, comp, 1 AS scored, 1 AS shrinks
 FROM pairs, (SELECT CAST(unnest(range(0, {SVD_K})) AS INTEGER) AS comp)""",
 })
