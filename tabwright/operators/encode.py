@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tabwright.functions.scalar import onehot_string
 from tabwright.operators.rank import row_number_by
 
 
@@ -58,6 +59,23 @@ def zscore(df: DataFrame, cols: Sequence[str], fit_on: DataFrame | None = None,
     return out
 
 
+def pair_encode(pairs: DataFrame, categorical: Sequence[str], numeric: Sequence[str]) -> DataFrame:
+    """E5: each categorical column as its one-hot string against the sorted list of its values, each numeric one over its
+    maximum.  Rows come back once a column by a join on its value; dictionaries are small, and a frequent value is
+    split by the engine's skew handling.  ``pairs`` is written once."""
+    pairs = pairs.checkpoint(eager=True)
+    out = pairs
+    for c in categorical:
+        codes = ordinal_codes(pairs, c, "_pos").withColumnRenamed(c, "_value")
+        n = codes.agg(F.count(F.lit(1))).scalar()
+        # the string is made once a value, not once a row
+        strings = codes.withColumn("_n", n).select("_value", onehot_string("_pos", "_n").alias("_hot"))
+        out = out.join(strings, out[c] == strings["_value"]).drop(c, "_value").withColumnRenamed("_hot", c)
+    for c in numeric:
+        out = out.withColumn(c, F.col(c) / pairs.agg(F.max(c)).scalar())
+    return out
+
+
 def sparse_onehot(df: DataFrame, key: str, cols: Sequence[str]) -> DataFrame:
     """One-hot of every column after label encoding, as the sorted list of active indices
     (column ``j`` occupies ``[offset_j, offset_j + cardinality_j)``).  Width never has to be

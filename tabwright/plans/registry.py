@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["basic", "panel", "match", "ensemble", "folds", "text", "neighbours", "selection", "models", "ranked", "linear", "io"]
+MODULES = ["basic", "panel", "match", "ensemble", "folds", "text", "neighbours", "selection", "models", "ranked", "linear", "forms", "io"]
 
 
 def _load():
