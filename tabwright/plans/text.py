@@ -287,8 +287,9 @@ def q_group_svd(spark, sf_dir, k=SVD_K):
     p = pairs(spark, sf_dir).select("doc_id", "item_id").checkpoint(eager=True)
     scores = group_components(w.join(p, "doc_id"), "item_id", "doc_id", k, SVD_ROUNDS)
     every = p.withColumn("comp", F.explode(F.sequence(F.lit(0), F.lit(k - 1))))
-    scores = every.join(scores, ["item_id", "doc_id", "comp"], "left").fillna(0.0, ["score"]).checkpoint(eager=True)
-    power = scores.groupBy("item_id").pivot("comp", list(range(k))).agg(F.sum(F.col("score") ** 2))
+    # a document without kept terms has no score; SQL says which those are
+    scores = every.join(scores, ["item_id", "doc_id", "comp"], "left").checkpoint(eager=True)
+    power = scores.groupBy("item_id").pivot("comp", list(range(k))).agg(F.sum(F.coalesce("score", F.lit(0.0)) ** 2))
     falls = [(F.col(str(i + 1)) <= F.col(str(i)) * 1.02 + 1e-9) for i in range(k - 1)]
     bad = power.where(~falls[0] | ~falls[1]).count() if k == 3 else 0
     return scores.select("doc_id", "item_id", F.col("comp").cast("int").alias("comp"), F.col("score").isNotNull().cast("int").alias("scored"),
@@ -328,6 +329,7 @@ ORACLE.update({
 FROM documents, (SELECT CAST(unnest(range(0, {LSA_K})) AS INTEGER) AS comp)""",
     "lsa_wide": f"""WITH {_KNOWN} SELECT doc_id, CAST(doc_id IN (SELECT doc_id FROM known) AS INTEGER) AS scored, 1 AS within, 1 AS orthonormal, 1 AS ordered, 1 AS converged
 FROM documents""",
-    "group_svd": f"""WITH {PAIRS} SELECT doc_id, item_id, comp, 1 AS scored, 1 AS shrinks
+    "group_svd": f"""WITH {PAIRS}, {DOCTOK}, {_tfidf_sql('doctok', 'doc_id')}
+SELECT doc_id, item_id, comp, CAST(doc_id IN (SELECT doc_id FROM w) AS INTEGER) AS scored, 1 AS shrinks
 FROM pairs, (SELECT CAST(unnest(range(0, {SVD_K})) AS INTEGER) AS comp)""",
 })
