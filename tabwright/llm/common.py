@@ -1,4 +1,7 @@
-"""Shared pieces: group values attached without a hot task, and gapless ranks in blocks."""
+"""Shared pieces: group values attached without a hot task, and gapless ranks in blocks.
+
+Column names that begin with an underscore are the operators' own: where whole rows are handed on, a caller's column of
+such a name may come back with the operator's value (``mixing.mixed_rows`` keeps them all)."""
 
 from __future__ import annotations
 
