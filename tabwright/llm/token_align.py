@@ -39,7 +39,7 @@ from pyspark.sql import types as T
 from .common import attach, materialise
 
 RANKS, PIECES = "byte_bpe_50k.tiktoken", "piece_bpe_32k.model"
-BLOCK, SLICE, WORDS = 4 << 20, 1 << 19, 300_000
+BLOCK, SLICE, WORDS, IDS_A_WORD = 4 << 20, 1 << 19, 300_000, 16
 #: Before a space that follows a character which no tokenizer takes for white space, if a character follows.
 WORD = re.compile(r"(?<=\S)(?= .)", re.DOTALL)
 FIGURES = ("n_a", "n_b", "n_groups", "n_links")
@@ -78,7 +78,7 @@ def overlaps(short: np.ndarray, long: np.ndarray, start: np.ndarray | None = Non
 
 
 class TokenizerPair:
-    """Words to ids of both vocabularies, each distinct word encoded once (up to ``WORDS`` of them are held)."""
+    """Words to ids of both vocabularies, each distinct word encoded once (about ``WORDS`` of them, and their ids, are held)."""
 
     def __init__(self, ranks_file: str, pieces_file: str):
         import public_tokenizers
@@ -108,13 +108,18 @@ class TokenizerPair:
         self._place: dict[str, int] = {}
         self._good, self._ids, self._counts, self._starts = none.astype(bool), (none, none), (none, none), (none, none)
 
-    def words(self, text: str) -> list[str]:
-        """Space and text, cut where both vocabularies cut."""
-        return WORD.split(" " + text)
+    def words(self, text: str, slice_chars: int) -> Iterator[list[str]]:
+        """Space and text, cut where both vocabularies cut, about ``slice_chars`` characters at a time."""
+        text, at = " " + text, 0
+        while at < len(text):
+            cut = WORD.search(text, at + slice_chars) if len(text) - at > slice_chars else None
+            end = cut.start() if cut else len(text)
+            yield WORD.split(text[at:end])
+            at = end
 
     def look_up(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, tuple]:
         """(ok by word, counts of A and B ids by word, ids of A and B)."""
-        if len(self._place) > WORDS:
+        if len(self._place) > WORDS or len(self._ids[0]) > IDS_A_WORD * WORDS:
             self._forget()
         place = self._place
         new = list(dict.fromkeys(w for w in words if w not in place))
@@ -164,15 +169,10 @@ class Block:
             self.hashes.append(None)
             if not text:
                 continue
-            cut, at = self.pair.words(text), 0
-            while at < len(cut):
-                upto = at
-                while upto < len(cut) and size < SLICE:
-                    size += len(cut[upto])
-                    upto += 1
-                words += cut[at:upto]
-                owner += [len(self.ids) - 1] * (upto - at)
-                at = upto
+            for cut in self.pair.words(text, SLICE):  # a long text slice by slice
+                words += cut
+                owner += [len(self.ids) - 1] * len(cut)
+                size += sum(map(len, cut))
                 if size >= SLICE:
                     self._align(words, np.array(owner))
                     words, owner, size = [], [], 0
