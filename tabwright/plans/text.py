@@ -4,6 +4,8 @@ document is used); markup → ``pages.html``."""
 
 from __future__ import annotations
 
+import functools
+
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -233,7 +235,7 @@ FROM tot ORDER BY n DESC, term LIMIT {TOP_K}""",
 
 # ---- stemming and SVD: SQL states the invariants of the result (no DuckDB counterpart of the methods) ----
 
-LSA_K, SVD_K, SVD_ROUNDS = 8, 3, 8
+LSA_K, SVD_K, SVD_BOUND = 8, 3, 0.01
 LSA_WIDE, LSA_BOUND = 100, 0.01
 
 
@@ -279,21 +281,34 @@ def q_lsa_project(spark, sf_dir, k=LSA_K):
                          F.lit(int(off is not None and off < 1e-6)).alias("orthonormal"), F.lit(int(falls)).alias("ordered"))
 
 
-def q_group_svd(spark, sf_dir, k=SVD_K):
-    """First components per query group (documents grouped by their paired query), every document
-    of every group; ``shrinks``: a component explains no more than the one before it."""
-    from tabwright.operators.lsa import group_components
-    w = _doc_weights(spark, sf_dir)
+def q_group_svd(spark, sf_dir, k=SVD_K, bound=SVD_BOUND):
+    """First components per query group (documents grouped by their paired query), every document of every group.
+    The flags of a group are taken anew from the returned scores: ``converged``: each component's residual |X X'u - lambda u|
+    is at most the bound times the largest lambda; ``orthogonal``: the components' products; ``ordered``: their sizes fall."""
+    from tabwright.operators import lsa as L
     p = pairs(spark, sf_dir).select("doc_id", "item_id").checkpoint(eager=True)
-    scores = group_components(w.join(p, "doc_id"), "item_id", "doc_id", k, SVD_ROUNDS)
-    every = p.withColumn("comp", F.explode(F.sequence(F.lit(0), F.lit(k - 1))))
+    w = _doc_weights(spark, sf_dir).join(p, "doc_id").checkpoint(eager=True)
+    scores = L.group_components(w, "item_id", "doc_id", k, bound).checkpoint(eager=True)
+    wide = scores.groupBy("item_id", "doc_id").pivot("comp", list(range(k))).agg(F.first("score")).select(
+        "item_id", "doc_id", *[F.col(str(c)).alias(f"s{c}") for c in range(k)]).checkpoint(eager=True)
+    names = [f"s{c}" for c in range(k)]
+    both = wide.join(L._by_groups(w, wide, "item_id", "doc_id", names).select("item_id", "doc_id", *[F.col(n).alias(f"a{n}") for n in names]), ["item_id", "doc_id"])
+    dots = both.groupBy("item_id").agg(
+        *[F.sum(F.col(a) * F.col(b)).alias(f"{a}{b}") for i, a in enumerate(names) for b in names[i:]],
+        *[F.sum(F.col(f"a{n}") * F.col(n)).alias(f"h{n}") for n in names], *[F.sum(F.col(f"a{n}") ** 2).alias(f"b{n}") for n in names])
+    lam = [F.col(n + n) for n in names]
+    top = lam[0]
+    left = [F.col(f"b{n}") - 2 * v * F.col(f"h{n}") + v ** 3 for n, v in zip(names, lam)]  # of the scores, sqrt(lambda) u
+    tight = [r <= (bound * top) ** 2 * v * 1.002 + 1e-9 * top ** 3 for r, v in zip(left, lam)]
+    apart = [F.abs(F.col(a + b)) <= 1e-6 * top for i, a in enumerate(names) for b in names[i + 1:]]
+    falls = [b <= a * (1 + 1e-9) for a, b in zip(lam, lam[1:])] or [F.lit(True)]
+    every = lambda tests: F.coalesce(functools.reduce(lambda a, b: a & b, tests, F.lit(True)), F.lit(False)).cast("int")
+    flags = dots.select("item_id", every(tight).alias("converged"), every(apart).alias("orthogonal"), every(falls).alias("ordered"))
+    grid = p.withColumn("comp", F.explode(F.sequence(F.lit(0), F.lit(k - 1))))
     # a document without kept terms has no score; SQL says which those are
-    scores = every.join(scores, ["item_id", "doc_id", "comp"], "left").checkpoint(eager=True)
-    power = scores.groupBy("item_id").pivot("comp", list(range(k))).agg(F.sum(F.coalesce("score", F.lit(0.0)) ** 2))
-    falls = [(F.col(str(i + 1)) <= F.col(str(i)) * 1.02 + 1e-9) for i in range(k - 1)]
-    bad = power.where(~falls[0] | ~falls[1]).count() if k == 3 else 0
-    return scores.select("doc_id", "item_id", F.col("comp").cast("int").alias("comp"), F.col("score").isNotNull().cast("int").alias("scored"),
-                         F.lit(int(bad == 0)).alias("shrinks"))
+    return grid.join(scores, ["item_id", "doc_id", "comp"], "left").join(flags, "item_id", "left").select(
+        "doc_id", "item_id", F.col("comp").cast("int").alias("comp"), F.col("score").isNotNull().cast("int").alias("scored"),
+        "converged", "orthogonal", "ordered")
 
 
 def q_lsa_wide(spark, sf_dir, k=LSA_WIDE, bound=LSA_BOUND):
@@ -330,6 +345,9 @@ FROM documents, (SELECT CAST(unnest(range(0, {LSA_K})) AS INTEGER) AS comp)""",
     "lsa_wide": f"""WITH {_KNOWN} SELECT doc_id, CAST(doc_id IN (SELECT doc_id FROM known) AS INTEGER) AS scored, 1 AS within, 1 AS orthonormal, 1 AS ordered, 1 AS converged
 FROM documents""",
     "group_svd": f"""WITH {PAIRS}, {DOCTOK}, {_tfidf_sql('doctok', 'doc_id')}
-SELECT doc_id, item_id, comp, CAST(doc_id IN (SELECT doc_id FROM w) AS INTEGER) AS scored, 1 AS shrinks
+SELECT doc_id, item_id, comp, CAST(doc_id IN (SELECT doc_id FROM w) AS INTEGER) AS scored,
+  CASE WHEN item_id IN (SELECT item_id FROM pairs WHERE doc_id IN (SELECT doc_id FROM w)) THEN 1 END AS converged,
+  CASE WHEN item_id IN (SELECT item_id FROM pairs WHERE doc_id IN (SELECT doc_id FROM w)) THEN 1 END AS orthogonal,
+  CASE WHEN item_id IN (SELECT item_id FROM pairs WHERE doc_id IN (SELECT doc_id FROM w)) THEN 1 END AS ordered
 FROM pairs, (SELECT CAST(unnest(range(0, {SVD_K})) AS INTEGER) AS comp)""",
 })
