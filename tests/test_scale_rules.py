@@ -104,3 +104,20 @@ def test_activity_gate_predicts_the_week_after_the_window(spark, tmp_path):
     assert all(r.label == (r.p >= 0.5) for r in scored)
     out = models.q_activity_gate(spark, str(tmp_path)).collect()
     assert len(out) == 40 and all((r.active, r.line_fits) == (r.user_id % 2, 1) for r in out) and sum(r.constant_hits for r in out) == 20
+
+
+def test_blend_ranks_of_ranges_are_those_of_the_whole_group(spark):
+    """Many small ranges, ties, nulls, an outlier: the sums a weight are those of one sort of the group, and rows move a few times only."""
+    rows = [("a" if i % 3 else "b", i, None if i % 17 == 0 else float(i % 7), None if i % 29 == 0 else float(i % 5), 1e300 if i == 50 else float((i * 37) % 101 // 4))
+            for i in range(600)]
+    df = spark.createDataFrame(rows, "model string, id long, y double, cur double, pred double")
+    weights = [0.0, 0.25, 0.5, 1.0]
+    got = {(r["model"], r["_k"]): (r["n"], r["sw"], r["swr"]) for r in S._blend_rank_sums(df, ["model"], weights, rows_a_piece=40, seen_a_piece=10).collect()}
+    want = {}
+    for m in ("a", "b"):
+        for k, w in enumerate(weights):
+            mine = [(y, i, None if c is None else w * c + (1 - w) * p) for mm, i, y, c, p in rows if mm == m]
+            mine.sort(key=lambda t: (t[2] is not None, t[2] or 0.0, t[1]))
+            want[m, k] = (len(mine), sum(t[0] or 0.0 for t in mine), sum((t[0] or 0.0) * (n + 1) for n, t in enumerate(mine)))
+    assert got == want
+    assert not S._blend_rank_sums(df.limit(0), ["model"], weights).collect()
