@@ -8,9 +8,10 @@ of another from below, so whole block pairs can be left out:
    the block a bound, its largest k-th distance;
 2. it meets the other base blocks whose lower bound is not above that; the rest never meet.
 
-A pair of blocks meets once in a ``cogroup``, whose function computes that block's distance matrix and keeps each query's ``k``
-best base rows.  Only ``k`` candidates per query and base block leave the task — pairs are never
-materialised as rows — and a final row number per query keeps the global ``k`` best.  Block sizes
+A query block meets its base blocks, up to ``MEET_ROWS`` base rows at a time, in a ``cogroup``, whose function computes the distance
+matrix and keeps each query's ``k`` best base rows.  The first meeting returns only each query's k-th distance; the second
+only rows that are not beyond it.  So ``k`` candidates per query and ``MEET_ROWS`` base rows leave the tasks, not ``k`` a base block
+— pairs are never materialised as rows — and a final row number per query keeps the global ``k`` best.  Both sizes
 bound every task's memory; the number of blocks grows with the data.  Distance ties go to the smaller base id.
 """
 
@@ -27,6 +28,7 @@ from tabwright.operators.rank import row_number_by
 
 _OUT = "qid long, bid long, dist double, blabel double"
 PIVOTS = 64
+MEET_ROWS = 65536
 
 
 def _matrix(column) -> np.ndarray:
@@ -44,8 +46,9 @@ def nearest_rows(q: np.ndarray, b: np.ndarray, k: int, digits: int) -> list[tupl
 
     Candidates come from the product form with room for its rounding; their distances are then taken exactly."""
     k, out = min(k, len(b)), []
-    for s in range(0, len(q), 256):
-        part = q[s:s + 256]
+    rows = max(1, min(256, (1 << 22) // max(1, len(b))))  # a matrix of 32 MB, however many base rows meet
+    for s in range(0, len(q), rows):
+        part = q[s:s + rows]
         rough = _distances(part, b)
         room = 1e-9 * (1.0 + (part * part).sum(axis=1) + (b * b).sum(axis=1).max()) + 10.0 ** -digits
         kth = np.partition(rough, k - 1, axis=1)[:, k - 1]
@@ -92,22 +95,27 @@ def block_pairs(q: DataFrame, b: DataFrame, pivots: np.ndarray) -> DataFrame:
     return pairs.select("qp", "qs", "bp", "bs", F.col("bp_n").alias("n"), low.alias("low"))
 
 
-def _met(q: DataFrame, b: DataFrame, pairs: DataFrame, k: int, digits: int) -> DataFrame:
-    """The k best of each query in each of the block pairs."""
+def _met(q: DataFrame, b: DataFrame, pairs: DataFrame, k: int, digits: int, bounds: bool = False) -> DataFrame:
+    """The k best of each query, not beyond its _most, in the base blocks of each (qp, qs, part) of the pairs; with ``bounds`` only
+    (qid, worst, n): the distance of the last of them and their number."""
     def best(qdf: pd.DataFrame, bdf: pd.DataFrame) -> pd.DataFrame:
         if qdf.empty or bdf.empty:
-            return pd.DataFrame({"qid": [], "bid": [], "dist": [], "blabel": []})
+            return pd.DataFrame({c: [] for c in (("qid", "worst", "n") if bounds else ("qid", "bid", "dist", "blabel"))})
         bdf = bdf.sort_values("bid")
         found = nearest_rows(_matrix(qdf["vec"]), _matrix(bdf["vec"]), k, digits)
+        if bounds:
+            some = [i for i, (x, _) in enumerate(found) if len(x)]
+            return pd.DataFrame({"qid": qdf["qid"].to_numpy()[some], "worst": [found[i][1][-1] for i in some], "n": [len(found[i][0]) for i in some]})
+        found = [(x[d <= most], d[d <= most]) for (x, d), most in zip(found, qdf["_most"].to_numpy())]
         at = np.concatenate([x for x, _ in found])
         return pd.DataFrame({"qid": np.repeat(qdf["qid"].to_numpy(), [len(x) for x, _ in found]), "bid": bdf["bid"].to_numpy()[at],
                              "dist": np.concatenate([d for _, d in found]), "blabel": bdf["blabel"].to_numpy()[at]})
 
-    keys = ["qp", "qs", "bp", "bs"]
-    left = q.join(pairs.select(*keys), (q["_piv"] == F.col("qp")) & (q["_blk"] == F.col("qs"))).select(*keys, "qid", "vec")
-    own = pairs.select(*[F.col(c).alias(f"r_{c}") for c in keys])  # columns of its own: both sides come from one table of pairs
-    right = b.join(own, (b["_piv"] == F.col("r_bp")) & (b["_blk"] == F.col("r_bs"))).select(*own.columns, "bid", "vec", "blabel")
-    return left.groupBy(*keys).cogroup(right.groupBy(*own.columns)).applyInPandas(best, _OUT)
+    keys = ["qp", "qs", "part"]
+    left = q.join(pairs.select(*keys).distinct(), (q["_piv"] == F.col("qp")) & (q["_blk"] == F.col("qs"))).select(*keys, "qid", "vec", "_most")
+    own = pairs.select(*[F.col(c).alias(f"r_{c}") for c in [*keys, "bp", "bs"]])  # columns of its own: both sides come from one table of pairs
+    right = b.join(own, (b["_piv"] == F.col("r_bp")) & (b["_blk"] == F.col("r_bs"))).select(*[f"r_{c}" for c in keys], "bid", "vec", "blabel")
+    return left.groupBy(*keys).cogroup(right.groupBy(*[f"r_{c}" for c in keys])).applyInPandas(best, "qid long, worst double, n long" if bounds else _OUT)
 
 
 def _ranked(found: DataFrame, k: int) -> DataFrame:
@@ -122,38 +130,34 @@ def pivots_of(base: DataFrame, n: int) -> np.ndarray:
 
 
 def knn(queries: DataFrame, base: DataFrame, k: int, qid: str, bid: str, vec: str, label: str,
-        block_rows: int = 2048, digits: int = 9, seen: dict | None = None) -> DataFrame:
+        block_rows: int = 2048, digits: int = 9, seen: dict | None = None, meet_rows: int = MEET_ROWS) -> DataFrame:
     """``(qid, bid, dist, blabel, rank)`` for the ``k`` nearest base rows of every query row
     (Euclidean, rounded to ``digits`` decimals before ranking so engines agree on ties).
 
     ``seen`` (optional) receives ``pairs`` and ``met``: block pairs in all and those that met."""
     q = queries.select(F.col(qid).alias("qid"), F.col(vec).alias("vec"))
     b = base.select(F.col(bid).alias("bid"), F.col(vec).alias("vec"), F.col(label).cast("double").alias("blabel"))
-    nb = b.count()
+    nb, free = b.count(), F.lit(float("inf"))
     if nb <= block_rows:  # one base block: nothing to skip, so nothing to lay out
         parts = max(1, math.ceil(q.count() / block_rows))
-        pairs = q.sparkSession.range(parts).select(F.lit(0).alias("qp"), F.col("id").alias("qs"), F.lit(0).alias("bp"), F.lit(0).alias("bs"))
+        pairs = q.sparkSession.range(parts).select(F.lit(0).alias("qp"), F.col("id").alias("qs"), F.lit(0).alias("bp"), F.lit(0).alias("bs"), F.lit(0).alias("part"))
         whole = b.withColumns({"_piv": F.lit(0), "_blk": F.lit(0)})
-        return _ranked(_met(q.withColumns({"_piv": F.lit(0), "_blk": F.pmod(F.xxhash64("qid"), F.lit(parts))}), whole, pairs, k, digits), k)
+        return _ranked(_met(q.withColumns({"_piv": F.lit(0), "_blk": F.pmod(F.xxhash64("qid"), F.lit(parts)), "_most": free}), whole, pairs, k, digits), k)
     pivots = pivots_of(b, min(PIVOTS, math.ceil(nb / block_rows)))
     q, b = blocked(q, "qid", pivots, block_rows), blocked(b, "bid", pivots, block_rows)
     pairs = block_pairs(q, b, pivots)
     order = Window.partitionBy("qp", "qs").orderBy("low", "bp", "bs").rowsBetween(Window.unboundedPreceding, -1)
-    pairs = pairs.withColumn("near", F.coalesce(F.sum("n").over(order), F.lit(0)) < k).checkpoint(eager=True)
-    first = _ranked(_met(q, b, pairs.where("near"), k, digits), k).checkpoint(eager=True)
-    rest = pairs.where("NOT near")
+    before = F.coalesce(F.sum("n").over(order), F.lit(0))
+    pairs = pairs.withColumn("near", before < k).withColumn("part", F.floor(before / meet_rows)).checkpoint(eager=True)
+    near = _met(q.withColumn("_most", free), b, pairs.where("near"), k, digits, bounds=True)
+    worst = near.groupBy("qid").agg(F.when(F.sum("n") >= k, F.max("worst")).otherwise(free).alias("_most")).checkpoint(eager=True)
+    far = q.select("qid", "_piv", "_blk").join(worst, "qid").groupBy(F.col("_piv").alias("_p"), F.col("_blk").alias("_b")).agg(F.max("_most").alias("_far"))
+    met = pairs.join(far, (F.col("qp") == F.col("_p")) & (F.col("qs") == F.col("_b")), "left").where(
+        F.col("near") | (F.col("low") <= F.col("_far") * (1 + 1e-9) + 2 * 10.0 ** -digits))
+    met = met.select("qp", "qs", "bp", "bs", "n", "low").withColumn("part", F.floor(before / meet_rows)).checkpoint(eager=True)
     if seen is not None:
-        seen["pairs"] = pairs.count()
-        seen["met"] = seen["pairs"] - rest.count()
-    if rest.isEmpty():
-        return first
-    worst = first.groupBy("qid").agg(F.max("dist").alias("_worst"))
-    worst = q.select("qid", "_piv", "_blk").join(worst, "qid").groupBy("_piv", "_blk").agg(F.max("_worst").alias("_worst"))
-    more = rest.join(worst, (F.col("qp") == F.col("_piv")) & (F.col("qs") == F.col("_blk"))).where(
-        F.col("low") <= F.col("_worst") * (1 + 1e-9) + 2 * 10.0 ** -digits).select(*pairs.columns).checkpoint(eager=True)
-    if seen is not None:
-        seen["met"] += more.count()
-    return _ranked(first.drop("rank").unionByName(_met(q, b, more, k, digits)), k)
+        seen["pairs"], seen["met"] = pairs.count(), met.count()
+    return _ranked(_met(q.join(worst, "qid", "left").withColumn("_most", F.coalesce("_most", free)), b, met, k, digits), k)
 
 
 def neighbour_weight(weights: str, qid: str = "qid"):

@@ -60,3 +60,20 @@ def test_weights(spark):
             per = {c: round(sum(a for a, cc in zip(w, y) if cc == c), 9) for c in set(y)}
             assert r.vote == min(c for c in per if per[c] >= max(per.values()) - 1e-8)
     assert K.knn(qdf, bdf.limit(0), 3, "id", "id", "v", "label").count() == 0
+
+
+def test_candidates_do_not_grow_with_the_number_of_base_blocks(spark):
+    """With k of the size of a block every block used to send most of its rows; now k a meeting of many blocks leave the tasks."""
+    rng = np.random.default_rng(3)
+    b, q = rng.normal(size=(400, 4)), rng.normal(size=(50, 4))
+    qdf, bdf = tables(spark, q, b, rng.integers(0, 3, 400))
+    sent, whole = [], K._ranked
+    try:
+        K._ranked = lambda found, k: sent.append(found.count()) or whole(found, k)
+        for meet in (64, 400):
+            rows = K.knn(qdf, bdf, 20, "id", "id", "v", "label", block_rows=20, meet_rows=meet).collect()
+            got = {i: [r.bid for r in sorted(rows, key=lambda r: r.rank) if r.qid == i] for i in range(50)}
+            assert got == {i: [x for x, _ in v] for i, v in brute(q, b, 20).items()}
+    finally:
+        K._ranked = whole
+    assert sent[1] <= 50 * 20 and sent[0] <= 50 * 20 * 8
