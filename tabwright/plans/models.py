@@ -18,7 +18,7 @@ from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, Li
                                        OneVsRest, RandomForestClassifier)
 from pyspark.ml.feature import StandardScaler
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.regression import FMRegressor, GBTRegressor, LinearRegression
+from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.ml import Pipeline
 from pyspark.sql import Window
@@ -147,11 +147,9 @@ def q_rf_submit(spark, sf_dir):
 def fm_predictions(train, test, steps=200):
     """Factorisation machine regression on standardised features and a standardised target."""
     mean, sd = train.agg(F.avg("y"), F.stddev_pop("y")).first()
-    pipe = Pipeline(stages=[StandardScaler(inputCol="features", outputCol="sfeat", withMean=True, withStd=True),
-                            FMRegressor(featuresCol="sfeat", labelCol="z", factorSize=4, maxIter=steps, seed=7,
-                                        stepSize=0.05)])
-    model = pipe.fit(train.withColumn("z", (F.col("y") - mean) / (sd or 1.0)))
-    return model.transform(test).select("o_orderkey", (F.col("prediction") * (sd or 1.0) + mean).alias("pred"))
+    scaler = StandardScaler(inputCol="features", outputCol="sfeat", withMean=True, withStd=True).fit(train)
+    model = MD.fit_fm(scaler.transform(train).withColumn("z", (F.col("y") - mean) / (sd or 1.0)), "sfeat", "z", steps, factors=4, seed=7, rate=0.05)
+    return MD.predict_fm(scaler.transform(test), "sfeat", model).select("o_orderkey", (F.col("prediction") * (sd or 1.0) + mean).alias("pred"))
 
 
 def q_fm(spark, sf_dir):

@@ -3,7 +3,7 @@
 import os
 
 import pytest
-from pyspark.ml.regression import LinearRegression
+from pyspark.ml.regression import FMRegressor, LinearRegression
 from pyspark.sql import functions as F
 
 from tabwright.operators import models as MD
@@ -67,3 +67,18 @@ def test_oof_linear_beats_constant(spark):
     mse = j.agg(F.avg((F.col("y") - F.col("pred")) ** 2)).first()[0]
     var = j.agg(F.var_pop("y")).first()[0]
     assert mse < var
+
+
+def test_factorisation_machine_reads_its_rows_once_and_is_the_library_s(spark, monkeypatch):
+    rows = spark.range(300).select(*[(F.pmod(F.xxhash64("id", F.lit(c)), F.lit(1000)) / 250 - 2.0).alias(f"x{c}") for c in range(4)])
+    rows = MD.assemble(rows.withColumn("z", F.col("x0") * F.col("x1") - F.col("x2") + 0.3), ["x0", "x1", "x2", "x3"]).repartition(4).cache()
+    want = FMRegressor(labelCol="z", factorSize=3, maxIter=60, stepSize=0.05, seed=7).fit(rows)
+    passes, whole = [], type(rows).mapInArrow
+    monkeypatch.setattr(type(rows), "mapInArrow", lambda df, *a, **k: passes.append(1) or whole(df, *a, **k))
+    b, w, v = MD.fit_fm(rows, "features", "z", 60, factors=3, seed=7, rate=0.05)
+    assert len(passes) == 1  # the steps used to read the rows again, each
+    assert b == pytest.approx(want.intercept, abs=1e-6) and w == pytest.approx(want.linear.toArray(), abs=1e-6)
+    assert v == pytest.approx(want.factors.toArray(), abs=1e-6)
+    got = MD.predict_fm(rows, "features", (b, w, v)).select("x0", "prediction").orderBy("x0", "prediction").collect()
+    old = want.transform(rows).select("x0", "prediction").orderBy("x0", "prediction").collect()
+    assert [r.prediction for r in got] == pytest.approx([r.prediction for r in old], abs=1e-5)
