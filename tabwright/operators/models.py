@@ -92,6 +92,8 @@ def fit_fm(train: DataFrame, features: str, label: str, steps: int = 100, factor
     got = {r["at"]: r["s"] for r in x.mapInArrow(sums, "at long, s double").groupBy("at").agg(F.sum("s").alias("s")).collect()}
     side = d * (d + 1) // 2 + 2
     g = np.array([got[n] for n in range(side * side)]).reshape(side, side)
+    if not np.isfinite(g).all():
+        raise ValueError("features and labels must be finite")
     n, gram, right = g[0, 0], g[:-1, :-1], g[:-1, -1]
     first, second, old = (np.zeros(v.size + d + 1) for _ in range(3))
     for t in range(1, steps + 1):

@@ -82,3 +82,9 @@ def test_factorisation_machine_reads_its_rows_once_and_is_the_library_s(spark, m
     got = MD.predict_fm(rows, "features", (b, w, v)).select("x0", "prediction").orderBy("x0", "prediction").collect()
     old = want.transform(rows).select("x0", "prediction").orderBy("x0", "prediction").collect()
     assert [r.prediction for r in got] == pytest.approx([r.prediction for r in old], abs=1e-5)
+
+
+def test_factorisation_machine_refuses_what_is_not_finite(spark):
+    rows = MD.assemble(spark.createDataFrame([(1.0, 2.0, 1.0), (2.0, 1.0, 0.0), (0.5, float("nan"), 1.0)], "a double, b double, z double"), ["a", "b"])
+    with pytest.raises(Exception, match="finite|NaN"):
+        MD.fit_fm(rows, "features", "z", 5, factors=2)
