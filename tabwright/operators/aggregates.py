@@ -37,10 +37,12 @@ def rate_cube(df: DataFrame, keys: Mapping[str, Sequence], label, cut: float = 0
             .withColumn("pred", threshold("rate", cut)))
 
 
-def score_by_lookup(df: DataFrame, cube: DataFrame, keys: Sequence[str], pred: str = "pred") -> DataFrame:
+def score_by_lookup(df: DataFrame, cube: DataFrame, keys: Sequence[str], pred: str = "pred", dense: bool = False) -> DataFrame:
     """Table-lookup scoring — left join on the cube keys, missing cell → 0.  The cube comes from the
-    caller, so its size decides at run time whether it is broadcast (no hint)."""
-    return df.join(cube.select(*keys, pred), list(keys), "left").withColumn(
+    caller, so its size decides at run time whether it is broadcast; ``dense`` says that it is a grid over literal key
+    lists, as ``rate_cube`` makes, and goes to the rows: no task gets all rows of a cell."""
+    cells = cube.select(*keys, pred)
+    return df.join(F.broadcast(cells) if dense else cells, list(keys), "left").withColumn(
         pred, F.coalesce(F.col(pred), F.lit(0)))
 
 

@@ -39,7 +39,7 @@ def q_rate_cube(spark, sf_dir):
 def q_rate_cube_score(spark, sf_dir):
     base = survival(spark, sf_dir)
     cube = agg.rate_cube(base, CUBE_KEYS, "outcome")
-    scored = agg.score_by_lookup(base, cube, list(CUBE_KEYS))
+    scored = agg.score_by_lookup(base, cube, list(CUBE_KEYS), dense=True)
     return scored.groupBy("fare_bin", "pred").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
