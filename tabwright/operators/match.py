@@ -60,6 +60,14 @@ def overlap_join(left: DataFrame, right: DataFrame, salt_buckets: int = 64) -> D
     return lt.join(rt, ["token", "_salt"]).drop("_salt")
 
 
+def with_attr_tokens(tokens: DataFrame, attrs: DataFrame, attr: str) -> DataFrame:
+    """Tokens that agree only within one value of ``attr``: token = (attr, token), once for each value an entity has.
+
+    Entities without a value have no token: they are in no pair of equal values."""
+    known = attrs.where(F.col(attr).isNotNull()).select("entity_id", F.col(attr).alias("_a")).distinct()
+    return tokens.join(known, "entity_id").select("entity_id", F.struct("_a", "token").alias("token")).where("token.token IS NOT NULL")
+
+
 def overlap_pairs(left: DataFrame, right: DataFrame, **kw) -> DataFrame:
     """Every (left, right) with a non-empty token intersection and its size."""
     return overlap_join(left.select("entity_id", "token").distinct(),

@@ -102,8 +102,10 @@ def q_pair_exists(spark, sf_dir):
 
 def q_pair_attr_filter(spark, sf_dir):
     w = _World(spark, sf_dir)
-    pairs = M.overlap_pairs(w.dev_tokens, w.cookie_tokens)
-    return M.same_attr_filter(pairs, w.country(w.devices), w.country(w.cookies), "country").select(
+    lc, rc = w.country(w.devices), w.country(w.cookies)
+    # only pairs of one country are formed; the filter then looks both sides up as before
+    pairs = M.overlap_pairs(M.with_attr_tokens(w.dev_tokens, lc, "country"), M.with_attr_tokens(w.cookie_tokens, rc, "country"))
+    return M.same_attr_filter(pairs, lc, rc, "country").select(
         "left_id", "right_id")
 
 

@@ -2,6 +2,7 @@
 
 
 from tabwright.operators import aggregates as AG
+from tabwright.operators import match as M
 
 
 def _plan(df):
@@ -19,3 +20,10 @@ def test_dense_cube_goes_to_the_rows(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert sorted((r.a is None, r.a, r.b, r.pred) for r in out.where("a IS NOT NULL").collect()) == [
         (False, 0, 0, 1), (False, 0, 0, 1), (False, 1, 0, 1), (False, 1, 1, 0), (False, 2, 0, 0)]
+
+
+def test_tokens_of_one_attribute_value(spark):
+    tokens = spark.createDataFrame([(1, 7), (1, 8), (2, 7), (3, 7), (4, 7), (5, None)], "entity_id long, token long")
+    attrs = spark.createDataFrame([(1, "a"), (2, "a"), (2, "b"), (3, None), (5, "a"), (1, "a")], "entity_id long, country string")
+    got = M.with_attr_tokens(tokens, attrs, "country").collect()
+    assert sorted((r.entity_id, r.token["_a"], r.token["token"]) for r in got) == [(1, "a", 7), (1, "a", 8), (2, "a", 7), (2, "b", 7)]
