@@ -3,6 +3,7 @@
 
 from tabwright.operators import aggregates as AG
 from tabwright.operators import match as M
+from tabwright.sources import files as IO
 
 
 def _plan(df):
@@ -22,6 +23,18 @@ def test_dense_cube_goes_to_the_rows(spark):
         (False, 0, 0, 1), (False, 0, 0, 1), (False, 1, 0, 1), (False, 1, 1, 0), (False, 2, 0, 0)]
 
 
+def test_lines_stay_where_they_are_read(spark, tmp_path):
+    df = spark.createDataFrame([(i, i / 2) for i in range(50)], "id long, pred double")
+    IO.write_submission(df, f"{tmp_path}/m1")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        back = IO.read_submissions(spark, f"{tmp_path}/m*/part-*.csv")
+        assert "SortMergeJoin" not in _plan(back)
+        assert sorted((r.row_no, r.id, r.pred) for r in back.collect()) == [(i + 1, i, i / 2) for i in range(50)]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_tokens_of_one_attribute_value(spark):
     tokens = spark.createDataFrame([(1, 7), (1, 8), (2, 7), (3, 7), (4, 7), (5, None)], "entity_id long, token long")
     attrs = spark.createDataFrame([(1, "a"), (2, "a"), (2, "b"), (3, None), (5, "a"), (1, "a")], "entity_id long, country string")
