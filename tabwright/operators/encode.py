@@ -61,8 +61,8 @@ def zscore(df: DataFrame, cols: Sequence[str], fit_on: DataFrame | None = None,
 
 def pair_encode(pairs: DataFrame, categorical: Sequence[str], numeric: Sequence[str]) -> DataFrame:
     """E5: each categorical column as its one-hot string against the sorted list of its values, each numeric one over its
-    maximum.  Rows come back once a column by a join on its value; dictionaries are small, and a frequent value is
-    split by the engine's skew handling.  ``pairs`` is written once."""
+    maximum.  A string is as long as its dictionary, so dictionaries are small (n values are n * n characters): they go
+    to the rows, which never meet in one task by their value.  ``pairs`` is written once."""
     pairs = pairs.checkpoint(eager=True)
     out = pairs
     for c in categorical:
@@ -70,7 +70,7 @@ def pair_encode(pairs: DataFrame, categorical: Sequence[str], numeric: Sequence[
         n = codes.agg(F.count(F.lit(1))).scalar()
         # the string is made once a value, not once a row
         strings = codes.withColumn("_n", n).select("_value", onehot_string("_pos", "_n").alias("_hot"))
-        out = out.join(strings, out[c] == strings["_value"]).drop(c, "_value").withColumnRenamed("_hot", c)
+        out = out.join(F.broadcast(strings), out[c] == strings["_value"]).drop(c, "_value").withColumnRenamed("_hot", c)
     for c in numeric:
         out = out.withColumn(c, F.col(c) / pairs.agg(F.max(c)).scalar())
     return out

@@ -2,6 +2,7 @@
 
 
 from tabwright.operators import aggregates as AG
+from tabwright.operators import encode as EN
 from tabwright.operators import match as M
 from tabwright.sources import files as IO
 
@@ -35,6 +36,18 @@ def test_lines_stay_where_they_are_read(spark, tmp_path):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_one_hot_dictionaries_go_to_the_rows(spark):
+    df = spark.createDataFrame([(i, "xyz"[i % 3], float(i)) for i in range(9)] + [(9, None, 1.0)], "id long, c string, v double")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = EN.pair_encode(df, ["c"], ["v"])
+        assert "SortMergeJoin" not in _plan(out)
+        hot = {"x": "1 0 0", "y": "0 1 0", "z": "0 0 1"}
+        assert sorted((r.id, r.c, r.v) for r in out.collect()) == [(i, hot["xyz"[i % 3]], i / 8) for i in range(9)]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_tokens_of_one_attribute_value(spark):
     tokens = spark.createDataFrame([(1, 7), (1, 8), (2, 7), (3, 7), (4, 7), (5, None)], "entity_id long, token long")
     attrs = spark.createDataFrame([(1, "a"), (2, "a"), (2, "b"), (3, None), (5, "a"), (1, "a")], "entity_id long, country string")
