@@ -7,7 +7,7 @@ from tabwright.operators import encode as EN
 from tabwright.operators import match as M
 from tabwright.operators import metrics as MX
 from tabwright.operators import selection as S
-from tabwright.plans import selection
+from tabwright.plans import selection, text
 from tabwright.sources import files as IO
 
 
@@ -15,6 +15,14 @@ def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+def test_documents_get_a_task_for_so_many_characters(spark, tmp_path):
+    rows = [(i, "word " * 40, "en", "s", 200) for i in range(100)] + [(100, None, None, None, None)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    many = text.docs(spark, str(tmp_path), chars_a_task=1000)
+    assert many.rdd.getNumPartitions() == 20 and many.count() == 101
+    assert text.docs(spark, str(tmp_path)).rdd.getNumPartitions() <= 8
+
+
 def test_dense_cube_goes_to_the_rows(spark):
     keys = {"a": [0, 1], "b": [0, 1]}
     df = spark.createDataFrame([(0, 0, 1), (0, 0, 1), (1, 1, 0), (1, 0, 1), (2, 0, 1), (None, 0, 1)], "a int, b int, y int")
