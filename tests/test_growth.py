@@ -71,19 +71,20 @@ def test_out_of_fold_rows_of_repeated_orders(spark, tmp_path):
     """As a self-join by id: rows that repeat an id meet each other's targets, rows without an id are left out."""
     import datetime
     day = datetime.datetime(1992, 1, 11)
-    rows = [(1, 5, "F", 1000.0, day, "1"), (1, 6, "F", 3000.0, day, "1"), (2, 7, "F", 500.0, day, "1"), (None, 8, "F", 9.0, day, "1"), (3, 9, "F", None, day, "1")]
+    rows = [(1, 5, "F", 1000.0, day, "1"), (1, 6, "F", 3000.0, day, "1"), (2, 7, "F", 500.0, day, "1"), (None, 8, "F", 9.0, day, "1"), (3, 9, "F", None, day, "1"),
+            (4, None, "F", 2000.0, day, "1")]
     schema = "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string"
     spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/orders.parquet")
     o = selection.oof(spark, str(tmp_path))
     got = sorted(((r.model, r.iter, r.id, r.y, r.pred) for r in o.collect()), key=str)
-    targets = {1: [1000 / 1000 + 5, 3000 / 1000 + 6], 2: [0.5 + 7], 3: [None]}
-    m1, m3 = {1: [1.0, 3.0], 2: [0.5], 3: [None]}, {1: [5 + 0.2, 6 + 0.6], 2: [7 + 0.1], 3: [None]}
+    targets = {1: [1000 / 1000 + 5, 3000 / 1000 + 6], 2: [0.5 + 7], 3: [None], 4: [None]}
+    m1, m3 = {1: [1.0, 3.0], 2: [0.5], 3: [None], 4: [2.0]}, {1: [5 + 0.2, 6 + 0.6], 2: [7 + 0.1], 3: [None], 4: [None]}
     for name, want in (("m1", m1), ("m3", m3)):
         mine = [g for g in got if g[0] == name]
-        assert len(mine) == 2 * 6 and sorted(map(str, mine)) == sorted(
+        assert len(mine) == 2 * 7 and sorted(map(str, mine)) == sorted(
             str((name, it, k, y, p)) for it in (0, 1) for k in want for p, y in itertools.product(want[k], targets[k]))
     five = {(g[2], g[3]): g[4] for g in got if g[0] == "m5"}
-    assert len(five) == 4 and abs(five[1, 6.0] - (1 + 3 + 5.2 + 6.6) / 4) < 1e-12 and five[3, None] is None
+    assert len(five) == 5 and five[4, None] == 2.0 and abs(five[1, 6.0] - (1 + 3 + 5.2 + 6.6) / 4) < 1e-12 and five[3, None] is None
     plan = _plan(o.where("model <> 'm5'"))
     assert "Generate" not in plan[plan.index("Exchange"):]  # rows become many above the shuffles only
 
