@@ -19,12 +19,14 @@ be taken differently often; sources of size 0 have target 0; an empty table give
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabwright.operators.rank import row_number_by
+from tabwright.session import ensure_checkpoint_dir
 
 from .common import NOT_SPACE, attach, materialise, prefixed, same, with_block_rank
 
@@ -86,22 +88,36 @@ def allocate(rows: DataFrame, targets: DataFrame, max_copies: int = MAX_COPIES,
     state = rows.withColumn("copies", F.floor(rate).cast("long")).withColumn("_p", rate - F.floor(rate))
     q = F.when(F.col("_p") > 0, (F.col("_u") / (1 - F.col("_u"))) * ((1 - F.col("_p")) / F.col("_p"))).otherwise(
         F.lit(float("inf")))
-    state = materialise(state.withColumn("_q", q).withColumn("_more", F.lit(0).cast("long")))
+    state = materialise(state.withColumn("_q", q))
     blocks = max(64, state.count() // rows_a_block)
     # rows without a fraction come last, in blocks of U: no block holds a whole source
     block = F.when(F.col("_q") == F.lit(float("inf")), blocks + F.floor(F.col("_u") * blocks)).otherwise(
         F.floor(F.col("_q") / (1 + F.col("_q")) * blocks))
+    taken = state.groupBy("source").agg(F.sum(F.col("size") * F.col("copies")).alias("_taken"))
+    t = prefixed(targets.select("source", "target"), ["source"])
+    first = materialise(taken.join(t, same(taken, t, ["source"])).select("source", "target", "_taken"))
+    # A turn reads the rows that may still be taken and writes them, so plans do not grow with the turns: a checkpoint would
+    # carry what is known of its columns (each turn's on the last one's) into every later plan, in the driver.
+    spark = state.sparkSession
+    folder, turn, left, gaps = f"{ensure_checkpoint_dir(spark)}/mixing-{uuid.uuid4().hex}", 0, state, first
+    fits = (F.col("copies") < max_copies) & (F.col("size") > 0) & (F.col("size") <= F.col("_gap"))
     while True:  # each turn takes at least the first row that fits, and the gap falls below the next one
-        taken = state.groupBy("source").agg(F.sum(F.col("size") * (F.col("copies") + F.col("_more"))).alias("_taken"))
-        t = prefixed(targets.select("source", "target"), ["source"])
-        gaps = taken.join(t, same(taken, t, ["source"])).select("source", (F.col("target") - F.col("_taken")).alias("_gap"))
-        wanted = attach(state, materialise(gaps), ["source"], ["_id", "_k"])
-        fits = (F.col("_more") == 0) & (F.col("copies") < max_copies) & (F.col("size") > 0) & (F.col("size") <= F.col("_gap"))
+        wanted = attach(left, gaps.select("source", (F.col("target") - F.col("_taken")).alias("_gap")), ["source"], ["_id", "_k"])
         if wanted.filter(fits).isEmpty():
-            return state.withColumn("copies", F.col("copies") + F.col("_more"))
+            break
         ranked = with_block_rank(wanted, ["source"], block, ["_q", "_id", "size", "_x", "_k"], "_before", weight=F.when(fits, F.col("size")).otherwise(0))
         new = fits & (F.col("_before") + F.col("size") <= F.col("_gap"))
-        state = materialise(ranked.select(*[c for c in state.columns if c != "_more"], (F.col("_more") + new.cast("long")).alias("_more")))
+        # gaps only fall: a row that does not fit now never will
+        ranked.select(*state.columns, new.alias("_new"), (fits & ~new).alias("_left")).write.parquet(f"{folder}/turn={turn}")
+        left = spark.read.parquet(f"{folder}/turn={turn}").filter("_left").select(*state.columns)
+        turn += 1
+        more = prefixed(spark.read.parquet(folder).filter("_new").groupBy("source").agg(F.sum("size").alias("_more")), ["source"])
+        gaps = materialise(first.join(more, same(first, more, ["source"]), "left").select(
+            "source", "target", (F.col("_taken") + F.coalesce("_more", F.lit(0))).alias("_taken")))
+    if not turn:
+        return state
+    done = spark.read.parquet(folder).filter((~F.col("_left")) | (F.col("turn") == turn - 1))
+    return done.select(*[c for c in state.columns if c != "copies"], (F.col("copies") + F.col("_new").cast("long")).alias("copies"))
 
 
 def _planned(docs: DataFrame, id_col: str, text_col: str, source_col: str, weights: Sequence[float], share: float, max_copies: int,

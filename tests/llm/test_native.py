@@ -269,3 +269,23 @@ def test_mixing_prefers_and_handles_repeated_rows(spark):
     for r in rows:
         by[r.doc_id % 2] += r.copies
     assert len(rows) == 80 and abs(sum(r.taken for r in rows) - 400) < 10 and by[1] > by[0]
+
+
+def test_mixing_turns_do_not_materialise_all_rows_again(spark, docs, monkeypatch):
+    """Sizes of a wide range need many turns; each reads what may still be taken, and its plan carries nothing of the last one's."""
+    texts = ["w " * int(1.06 ** (i % 120)) for i in range(360)]
+    df = docs(texts, sources=["a", "b"])
+    hashed = {r.doc_id: r.x for r in df.select("doc_id", F.xxhash64("text").alias("x")).collect()}
+    kept, whole = mixing.materialise, []
+
+    def seen(frame):
+        if "_q" in frame.columns:
+            whole.append(frame)
+        return kept(frame)
+
+    monkeypatch.setattr(mixing, "materialise", seen)
+    rows = sorted(mixing.mix(df).collect())
+    for source in ("a", "b"):
+        mine = [r for r in rows if r.source == source]
+        assert [r.copies for r in mine] == pareto([(r.doc_id, hashed[r.doc_id], 0, r.size) for r in mine], mine[0].target)
+    assert len(rows) == 360 and len(whole) == 1
