@@ -169,8 +169,8 @@ def doc_table(spark, sf_dir):
     third = F.conv(F.substring(F.md5(F.col("doc_id").cast("string")), 31, 2), 16, 10).cast("int") % 3
     d = t.documents.repartition("doc_id").select(
         "doc_id", "lang", F.log10(F.length(text) + 1).alias("log_chars"),
-        (F.length(F.regexp_replace(text, r"[^A-Z]", "")) / chars).alias("upper"),
-        (F.length(F.regexp_replace(text, r"[^#$%&*!|]", "")) / chars).alias("marks"),
+        (F.length(F.regexp_replace(text, r"[^A-Z]+", "")) / chars).alias("upper"),
+        (F.length(F.regexp_replace(text, r"[^#$%&*!|]+", "")) / chars).alias("marks"),
         (F.size(F.array_distinct(tokens)) / F.size(tokens)).alias("distinct_words"),
         third.alias("part"), (F.length(text) > 1500).cast("int").alias("_long"))
     d = d.join(t.labels.select("doc_id", "quality"), "doc_id", "left").withColumn(
@@ -242,7 +242,9 @@ def q_rank_svc(spark, sf_dir):
 def stack_predictions(halves, test, overlap):
     """Two-fold cross stacking.  Stage 1 (logistic regression on document features): fit on half
     A → score B, fit on B → score A, fit on A ∪ B → score ``test``.  Stage 2: linear regression on
-    [stage-1 expected rating, query-token overlap]."""
+    [stage-1 expected rating, query-token overlap].  The overlap and the rows of stage 2 are worked out once,
+    however often the fit reads them."""
+    overlap = _materialised(overlap)
     a, b = halves.where("part = 0"), halves.where("part = 1")
 
     def stage1(fit_on, score):
@@ -255,7 +257,7 @@ def stack_predictions(halves, test, overlap):
         return MD.assemble(s1.join(overlap, "doc_id", "left").fillna(0.0, ["ratio"]), ["s1", "ratio"], "f2")
 
     s1 = stage1(a, b).unionByName(stage1(b, a)).join(halves.select("doc_id", "rating"), "doc_id")
-    m2 = LinearRegression(featuresCol="f2", labelCol="rating").fit(stage2(s1))
+    m2 = LinearRegression(featuresCol="f2", labelCol="rating").fit(_materialised(stage2(s1)))
     return m2.transform(stage2(stage1(halves, test))).select("doc_id", F.col("prediction").alias("pred"))
 
 
