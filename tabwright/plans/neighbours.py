@@ -6,7 +6,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tabwright.operators import blocks as BL
 from tabwright.operators import knn as K
 from tabwright.operators import nbayes as NB
 from tabwright.operators.folds import half_split
@@ -47,12 +46,12 @@ def q_knn_weighted(spark, sf_dir):
 
 def q_nb_by_group(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    w = BL.entries(_doc_weights(spark, sf_dir), ["doc_id"])  # read by fitting and by scoring
+    w = _doc_weights(spark, sf_dir)  # read by fitting and by scoring
     docs = t.documents.select("doc_id", "lang")
     lab = t.labels.join(docs, "doc_id").select("doc_id", "lang", "quality")
-    logp, prior = NB.fit(w.join(lab.select("doc_id"), "doc_id", "left_semi"), lab, "doc_id", "lang", "quality")
+    model, classes, prior = NB.fit(w, lab, "doc_id", "lang", "quality")
     test = docs.join(t.labels.select("doc_id"), "doc_id", "left_anti")
-    return NB.predict(w.join(test.select("doc_id"), "doc_id", "left_semi"), test, "doc_id", "lang", logp, prior)
+    return NB.predict(w, test, "doc_id", "lang", model, classes, prior)
 
 
 QUERIES = {
