@@ -110,3 +110,18 @@ def test_naive_bayes_of_packed_rows(spark, tmp_path):
             want[i] = min(score, key=lambda c: (-score[c], c is not None, c))
     got = {r.doc_id: r.pred for r in neighbours.q_nb_by_group(spark, str(tmp_path)).collect()}
     assert got == want
+
+
+def test_field_cosine_takes_the_words_of_a_text_once(spark):
+    n, out = _words_taken(spark, lambda: text.q_field_cosine(spark, SF_SMALL))
+    assert n == 2 and out.count() == text.pairs(spark, SF_SMALL).count()  # queries and texts
+
+
+def test_similarity_of_repeated_and_empty_pairs(spark):
+    q = spark.createDataFrame([(0, "a", 0.6), (0, "b", 0.8), (1, "c", 1.0)], "item_id long, term string, w double")
+    t = spark.createDataFrame([(5, "b", 0.5), (5, "a", 0.5), (5, "z", 0.5), (6, "z", 1.0)], "doc_id long, term string, w double")
+    pairs = spark.createDataFrame([(5, 0), (6, 1), (7, 0), (8, 9), (5, 1), (6, 0), (6, 0), (None, 0)], "doc_id long, item_id long")
+    got = sorted((-1 if r[0] is None else r[0], r[1], round(r[2], 6), round(r[3], 6)) for r in TF.pair_similarity(q, t, pairs, "item_id", "doc_id").collect())
+    assert got == [(-1, 0, 0.0, 0.0), (5, 0, 0.7, round(0.7 / (1 + 0.75 + 1.4), 6)), (5, 1, 0.0, 0.0), (6, 0, 0.0, 0.0), (6, 0, 0.0, 0.0), (6, 1, 0.0, 0.0), (7, 0, 0.0, 0.0), (8, 9, 0.0, 0.0)]
+    twice = pairs.where("doc_id = 5 AND item_id = 0")
+    assert [round(r.cosine, 6) for r in TF.pair_similarity(q, t, twice.union(twice), "item_id", "doc_id").collect()] == [1.4, 1.4]
