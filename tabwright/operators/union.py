@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tabwright.operators import blocks as BL
 from tabwright.operators.rank import row_number_by
 from tabwright.operators.textfeat import top_terms
 
@@ -44,7 +45,7 @@ class FeatureUnion:
             names = top_terms(total, self.limits[p]).select("term") if p in self.limits else total.select("term").distinct()
             kept.append(names.select(F.lit(i).alias("part"), F.col("term").alias("feature")))
         ranked = row_number_by(reduce(DataFrame.unionByName, kept), ["part", "feature"], out="column")
-        self.manifest = ranked.withColumn("column", F.col("column") - 1).checkpoint(eager=True)
+        self.manifest = BL.stored(ranked.withColumn("column", F.col("column") - 1))  # a small one meets the rows where they are
         return self
 
     def offsets(self) -> DataFrame:

@@ -4,10 +4,11 @@ import math
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.classic.dataframe import DataFrame
 
 from tabwright.operators import blocks as BL
 from tabwright.operators import textfeat as TF
-from tabwright.plans import models, neighbours, text
+from tabwright.plans import linear, models, neighbours, text
 
 from .conftest import SF_SMALL
 
@@ -56,17 +57,17 @@ def _tables(spark, d, docs, queries, labels=()):
 
 def _words_taken(spark, run):
     """How many expressions take words in the statements that ``run`` writes and in what it returns."""
-    plans, stored = [], BL.stored
+    plans, stored, checkpoint = [], BL.stored, DataFrame.checkpoint
 
     def seen(df):
         plans.append(df._jdf.queryExecution().optimizedPlan().toString())
-        return stored(df)
+        return df
 
     try:
-        BL.stored = seen
+        BL.stored, DataFrame.checkpoint = lambda df: stored(seen(df)), lambda df, **k: checkpoint(seen(df), **k)
         out = run()
     finally:
-        BL.stored = stored
+        BL.stored, DataFrame.checkpoint = stored, checkpoint
     plans.append(out._jdf.queryExecution().optimizedPlan().toString())
     return sum(p.count("regexp_extract_all") for p in plans), out
 
@@ -125,3 +126,9 @@ def test_similarity_of_repeated_and_empty_pairs(spark):
     assert got == [(-1, 0, 0.0, 0.0), (5, 0, 0.7, round(0.7 / (1 + 0.75 + 1.4), 6)), (5, 1, 0.0, 0.0), (6, 0, 0.0, 0.0), (6, 0, 0.0, 0.0), (6, 1, 0.0, 0.0), (7, 0, 0.0, 0.0), (8, 9, 0.0, 0.0)]
     twice = pairs.where("doc_id = 5 AND item_id = 0")
     assert [round(r.cosine, 6) for r in TF.pair_similarity(q, t, twice.union(twice), "item_id", "doc_id").collect()] == [1.4, 1.4]
+
+
+def test_union_takes_the_words_of_a_text_once_a_block(spark):
+    n, out = _words_taken(spark, lambda: linear.q_union_rows(spark, SF_SMALL))
+    assert n <= 6  # a text's for its title; both for the overlap; a query's for its block, and to leave out those without words
+    assert "SortMergeJoin [part" not in out._jdf.queryExecution().sparkPlan().toString()  # 401 columns go to the rows
