@@ -19,10 +19,12 @@ from pyspark.ml import Estimator, Model, Transformer
 from pyspark.ml.evaluation import Evaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.ml.param.shared import HasFeaturesCol, HasLabelCol, HasPredictionCol
 from pyspark.ml.regression import FMRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from tabwright.operators.metrics import kappa_quadratic
 
@@ -34,18 +36,19 @@ def assemble(df: DataFrame, cols: Sequence[str], out: str = "features") -> DataF
 
 def oof_predict(train: DataFrame, test: DataFrame | None, estimator_fn: Callable[[], Estimator], key: str,
                 fold_col: str = "fold", prediction: str = "prediction",
-                first_fold_bound: Callable[[DataFrame], bool] | None = None):
+                first_fold_bound: Callable[[DataFrame], bool] | None = None, fit_rows: dict | None = None, keep: Sequence[str] = ()):
     """Out-of-fold predictions ``(key, fold, pred)`` (each row scored by the model that did not
     see its fold) plus, when ``test`` is given, test predictions from a refit on all training rows.
 
     C6: ``first_fold_bound(scored_fold_0) → bool``; when it returns False the remaining folds are
-    not submitted (early abandon) and ``None`` is returned for the out-of-fold table."""
-    folds = [r[0] for r in train.select(fold_col).distinct().orderBy(fold_col).collect()]  # k values
+    not submitted (early abandon) and ``None`` is returned for the out-of-fold table.
+    fit_rows: per fold the rows to fit on instead of the other folds' (``other_folds``); keep: columns to keep."""
+    folds = sorted(fit_rows) if fit_rows else [r[0] for r in train.select(fold_col).distinct().orderBy(fold_col).collect()]  # k values
     parts = []
     for i, f in enumerate(folds):
-        model = estimator_fn().fit(train.where(F.col(fold_col) != f))
+        model = estimator_fn().fit(fit_rows[f] if fit_rows else train.where(F.col(fold_col) != f))
         scored = model.transform(train.where(F.col(fold_col) == f)).select(
-            key, fold_col, F.col(prediction).alias("pred"))
+            key, fold_col, *keep, F.col(prediction).alias("pred"))
         if i == 0 and first_fold_bound is not None and not first_fold_bound(scored):
             return None, None
         parts.append(scored)
@@ -130,8 +133,64 @@ def params_record(params: dict) -> tuple[str, str]:
     return js, hashlib.md5(js.encode()).hexdigest()
 
 
+def few_rows(moments: np.ndarray) -> np.ndarray:
+    """As many rows (x, y) as the matrix of moments of (1, x, y) has, with the same mean, variance and products.
+
+    The matrix is R'R; a reflection gives all rows of R the same constant, by which they are divided."""
+    scale = np.sqrt(np.maximum(np.diag(moments), 0.0))
+    scale[scale == 0] = 1.0
+    values, vectors = np.linalg.eigh(moments / np.outer(scale, scale))
+    r = np.sqrt(np.maximum(values, 0.0))[:, None] * vectors.T
+    to = np.full(len(r), np.linalg.norm(r[:, 0]) / np.sqrt(len(r)))
+    u = r[:, 0] - to
+    if u @ u > 0:
+        r = r - 2.0 * np.outer(u, u @ r) / (u @ u)
+    return (r * scale / (to[0] * scale[0]))[:, 1:]
+
+
+def other_folds(train: DataFrame, features: str, label: str, fold_col: str = "fold") -> dict | None:
+    """Per fold a few rows that a least-squares fit cannot tell from the rows of all other folds, with ``train`` read once.
+
+    The squared loss, its penalties and the scaling of a linear model see the rows only through the sums of the products of
+    (1, x, y).  Spark takes these by fold, a partial sum a partition; the driver gets a matrix of d + 2 a fold, for tens of
+    features d, not for thousands.  None where that does not hold: sums that are not finite, less than two folds, or columns
+    that are (nearly) linear in the others, where a fit hangs on the rounding."""
+    x = train.select(F.col(fold_col).alias("f"), vector_to_array(features).alias("x"), F.col(label).cast("double").alias("y"))
+
+    def sums(batches):
+        total = {}
+        for batch in batches:
+            f = batch.column(0).to_numpy(zero_copy_only=False)
+            p = np.hstack([np.ones((len(f), 1)), np.asarray(batch.column(1).flatten()).reshape(len(f), -1), batch.column(2).to_numpy(zero_copy_only=False)[:, None]])
+            for k in np.unique(f):
+                total[k] = total.get(k, 0.0) + p[f == k].T @ p[f == k]
+        for k, m in total.items():
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(m.size, k, np.int64)), pa.array(np.arange(m.size)), pa.array(m.ravel())], names=["f", "at", "s"])
+
+    if x.where("f IS NULL OR x IS NULL OR y IS NULL").limit(1).count():
+        return None
+    found: dict = {}
+    for r in x.select(F.col("f").cast("long").alias("f"), "x", "y").mapInArrow(sums, "f long, at long, s double").groupBy("f", "at").agg(F.sum("s").alias("s")).collect():
+        found.setdefault(r["f"], {})[r["at"]] = r["s"]
+    if len(found) < 2:
+        return None
+    each = {f: np.array([m[i] for i in range(len(m))]).reshape(int(np.sqrt(len(m))), -1) for f, m in found.items()}
+    total, out = sum(each.values()), {}
+    for f, m in each.items():
+        rest = total - m
+        mean, n = rest[0] / rest[0, 0], rest[0, 0]
+        spread = rest[1:, 1:] / n - np.outer(mean[1:], mean[1:])
+        sd = np.sqrt(np.maximum(np.diag(spread), 0.0))
+        if not np.isfinite(rest).all() or (sd <= 1e-6 * np.abs(mean[1:])).any() or np.linalg.eigvalsh((spread / np.outer(sd, sd))[:-1, :-1]).min() < 1e-6:
+            return None
+        rows = [(Vectors.dense(r[:-1]), float(r[-1])) for r in few_rows(rest)]
+        out[f] = train.sparkSession.createDataFrame(rows, StructType([StructField(features, VectorUDT()), StructField(label, DoubleType())])).coalesce(1)
+    return out
+
+
 def evaluate_grid(train: DataFrame, make: Callable[[dict], Estimator], grid: Sequence[dict], key: str,
-                  score_fn: Callable[[DataFrame], float], feat: str, model_name: str) -> list[tuple]:
+                  score_fn: Callable[[DataFrame], float], feat: str, model_name: str, fit_rows: dict | None = None,
+                  keep: Sequence[str] = ()) -> list[tuple]:
     """One trial per grid point — CV out-of-fold predictions scored by ``score_fn``.
     A grid point that the estimator or its fit rejects is recorded with status ``failed``, the first
     line of the error and no score (never zero predictions); any other error ends the job."""
@@ -139,7 +198,7 @@ def evaluate_grid(train: DataFrame, make: Callable[[dict], Estimator], grid: Seq
     for i, p in enumerate(grid):
         js, h = params_record(p)
         try:
-            oof, _ = oof_predict(train, None, lambda p=p: make(p), key)
+            oof, _ = oof_predict(train, None, lambda p=p: make(p), key, fit_rows=fit_rows, keep=keep)
         except (TypeError, IllegalArgumentException, Py4JJavaError) as e:  # a rejected parameter or a failed fit is data
             rows.append((i, feat, model_name, js, h, None, "failed", str(e).splitlines()[0][:500]))
             continue

@@ -25,6 +25,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tabwright.functions.scalar import clamp0, day_index
+from tabwright.operators import blocks as BL
 from tabwright.operators import models as MD
 from tabwright.operators import panel as P
 from tabwright.operators.folds import half_split
@@ -280,12 +281,14 @@ def trial_table(train, grid):
     """Grid trials of ridge / lasso (elastic-net 0 or 1) scored by CV RMSE; the
     best trial that ran is marked, parameters are completed with the defaults of the space."""
     spark = train.sparkSession
+    train = BL.stored(train.select("o_orderkey", "features", "y", "fold"), "fold")  # a trial reads each fold once, to score it
 
     def rmse(oof):
-        j = oof.join(train.select("o_orderkey", "y"), "o_orderkey")
-        return j.agg(F.sqrt(F.avg((F.col("y") - F.col("pred")) ** 2))).first()[0]
+        return oof.agg(F.sqrt(F.avg((F.col("y") - F.col("pred")) ** 2))).first()[0]
 
-    rows = MD.evaluate_grid(train, lambda p: LinearRegression(labelCol="y", **p), grid, "o_orderkey", rmse, "orders", "linear")
+    rows = MD.evaluate_grid(train, lambda p: LinearRegression(labelCol="y", **p), grid, "o_orderkey", rmse, "orders", "linear",
+                            fit_rows=MD.other_folds(train, "features", "y"), keep=["y"])
+    BL.drop(train)
     trials = spark.createDataFrame(rows, MD.TRIALS_SCHEMA)  # one row per trial: bounded by the grid
     params = F.from_json("params_json", "map<string,double>")
     defaults = F.create_map(*[F.lit(x) for kv in DEFAULTS.items() for x in (kv[0], float(kv[1]))])

@@ -3,10 +3,13 @@
 import math
 
 import pytest
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 from pyspark.sql.classic.dataframe import DataFrame
 
 from tabwright.operators import blocks as BL
+from tabwright.operators import models as MD
 from tabwright.operators import textfeat as TF
 from tabwright.plans import linear, models, neighbours, text
 
@@ -132,3 +135,30 @@ def test_union_takes_the_words_of_a_text_once_a_block(spark):
     n, out = _words_taken(spark, lambda: linear.q_union_rows(spark, SF_SMALL))
     assert n <= 6  # a text's for its title; both for the overlap; a query's for its block, and to leave out those without words
     assert "SortMergeJoin [part" not in out._jdf.queryExecution().sparkPlan().toString()  # 401 columns go to the rows
+
+
+def test_folds_are_fitted_from_sums_of_rows_read_once(spark):
+    train = models.order_table(spark, SF_SMALL).where("half = 0").select("o_orderkey", "features", "y", "fold")
+    counted, n = _counted(train.select("o_orderkey", vector_to_array("features").alias("x"), "y", "fold"))
+    few = MD.other_folds(counted.withColumn("features", array_to_vector("x")), "features", "y")
+    assert n.value <= 2 * train.count() and set(few) == {0, 1, 2, 3, 4}  # one look for nulls, one for the sums
+    for p in models.RIDGE_GRID:
+        fit = lambda rows: LinearRegression(labelCol="y", **p).fit(rows)
+        a, b = fit(train.where("fold != 2")), fit(few[2])
+        assert [*b.coefficients, b.intercept] == pytest.approx([*a.coefficients, a.intercept], rel=1e-5, abs=1e-6)
+
+
+def test_folds_that_sums_cannot_tell_keep_their_rows(spark):
+    rows = lambda f: spark.createDataFrame([(i, i % 2, f(i), float(i)) for i in range(12)], "id long, fold int, x array<double>, y double").withColumn(
+        "features", array_to_vector("x"))
+    assert MD.other_folds(rows(lambda i: [float(i * i), 1.0]), "features", "y") is None
+    assert MD.other_folds(rows(lambda i: [float(i * i), 2.0 * i * i]), "features", "y") is None
+    assert MD.other_folds(rows(lambda i: [float(i * i), math.nan]), "features", "y") is None
+    assert MD.other_folds(rows(lambda i: [float(i * i), float(i % 5)]).withColumn("fold", F.lit(0)), "features", "y") is None
+
+
+def test_trial_table_fits_no_fold_on_its_rows(spark, monkeypatch):
+    seen, fit = [], LinearRegression.fit
+    monkeypatch.setattr(LinearRegression, "fit", lambda self, rows, *a: (seen.append(rows.count()), fit(self, rows, *a))[1])
+    out = models.q_trial_table(spark, SF_SMALL)
+    assert out.where("status = 'ok'").count() == 6 and max(seen) == len(models.ORDER_FEATURES) + 2
