@@ -48,6 +48,18 @@ def test_lines_stay_where_they_are_read(spark, tmp_path):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_a_model_is_named_once_a_block(spark, tmp_path):
+    """Patterns over the path are searched after the lines of a block have become one count."""
+    df = spark.createDataFrame([(i, i / 2) for i in range(50)], "id long, pred double")
+    IO.write_submission(df, f"{tmp_path}/m1")
+    back = IO.read_submissions(spark, f"{tmp_path}/m*/part-*.csv")
+    nodes = back._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    named = [i for i, n in enumerate(nodes) if "regexp_extract" in n]
+    counted = [i for i, n in enumerate(nodes) if "Aggregate" in n]
+    assert named and max(named) <= counted[0]
+    assert {r.model for r in back.select("model").collect()} == {"m1"}
+
+
 def test_one_hot_dictionaries_go_to_the_rows(spark):
     df = spark.createDataFrame([(i, "xyz"[i % 3], float(i)) for i in range(9)] + [(9, None, 1.0)], "id long, c string, v double")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
