@@ -2,6 +2,8 @@
 
 import math
 
+import numpy as np
+
 from pyspark.sql import functions as F
 
 from tabwright.operators import match as M
@@ -121,3 +123,38 @@ def test_blend_ranks_of_ranges_are_those_of_the_whole_group(spark):
             want[m, k] = (len(mine), sum(t[0] or 0.0 for t in mine), sum((t[0] or 0.0) * (n + 1) for n, t in enumerate(mine)))
     assert got == want
     assert not S._blend_rank_sums(df.limit(0), ["model"], weights).collect()
+
+
+def test_ranges_by_two_edges_and_orders_by_whole_numbers():
+    """A row's range found by search, by the edges beside it and by counting edges is the same, with nulls, NaN and ties."""
+    rnd = np.random.default_rng(4)
+    n = 4000
+    blend, ids, given = np.round(rnd.normal(size=n), 1), rnd.permutation(n), rnd.random(n) < 0.9
+    blend[rnd.random(n) < 0.05] = np.nan
+    blend = np.where(given, blend, -np.inf)
+    order = np.lexsort((ids, blend, given))
+    assert (S._order_of(blend, given, ids) == order).all()
+    plain = rnd.normal(size=n) * 10.0 ** rnd.integers(-300, 300, n)
+    plain[:1500] = plain[1500:3000] * (1 + 1e-15 * (np.arange(1500) % 3))
+    plain[3000:3020] = 0.0 * np.array([1, -1] * 10)
+    assert (S._order_of(plain, np.ones(n, bool), ids) == np.lexsort((ids, plain))).all()
+    for cuts in (3, 40):
+        at = order[np.sort(rnd.choice(n, cuts, replace=False))]
+        edge = blend[at], ids[at], given[at]
+        place = np.empty(n, int)
+        place[order] = np.arange(n)
+        want = (place[:, None] >= place[at][None, :]).sum(axis=1)
+        assert (S._piece(blend, given, ids, edge) == want).all()
+        assert all((S._within(blend, given, ids, edge, p) == (want == p)).all() for p in range(cuts + 1))
+
+
+def test_a_candidate_is_ranked_alone_and_rows_travel_in_batches(spark, monkeypatch):
+    models = ["a", "b", "c"]
+    oof, rows = _oof(spark, models)
+    cur = oof.where("model = 'a'").select("iter", "fold", "id", "y", F.col("pred").alias("cur"))
+    seen, real = [], S._blend_rank_sums
+    monkeypatch.setattr(S, "_blend_rank_sums", lambda c, *a: seen.append(sorted(r.model for r in c.select("model").distinct().collect())) or real(c, *a))
+    got = S.greedy_round(oof, cur, models, F.lit(0.0), step=0.25, rows_at_once=30).first()
+    model, w, gini = _brute_round(rows, {(f, i): p for m, _, f, i, _, p in rows if m == "a"}, models, 0.25)
+    assert (got["model"], got["weight"]) == (model, w) and math.isclose(got["gini"], gini, abs_tol=1e-8) and seen == [["a"], ["b"], ["c"]]
+    assert [r.mean_gini for r in S.model_scores(oof, models).orderBy("model").collect()] == [r.mean_gini for r in S.model_scores(oof).orderBy("model").collect()]
